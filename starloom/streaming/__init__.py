@@ -1,0 +1,5 @@
+"""Intentionally empty: every flow this library covers is a bounded batch load.
+
+The word "watermark" in this code base means the batch control row kept by
+``operators.control``, not an event-time watermark.
+"""
