@@ -14,13 +14,22 @@ email as (
   select user_id id, concat('user', cast(user_id as varchar)) address, max(ts) email_ts
   from events where event_type = 'click' and value > 130 group by user_id)"""
 
+# Money as exact integers: price and totals in 1/10000, so that a share of tax or
+# freight is a quotient of integers, rounded half up to 6 digits like a decimal.
 _HEADER = """
 totals as (
-  select l_orderkey, cast(sum(cast(l_extendedprice as decimal(19,4))) as double) sub_total,
-         cast(sum(cast(l_extendedprice as decimal(19,4)) * cast(l_tax as decimal(4,2))) as double) tax,
+  select l_orderkey, sum(cast(round(l_extendedprice * 10000) as hugeint)) sub_total,
+         sum(cast(round(l_extendedprice * 100) as hugeint) * cast(round(l_tax * 100) as hugeint)) tax,
          min(l_shipdate) due, max(l_shipdate) shipped, min(l_suppkey) seller, max(l_suppkey) ship_to
   from lineitem group by l_orderkey)"""
 
+
+def _share(amount: str) -> str:
+    price, whole = "cast(round(l_extendedprice * 10000) as hugeint)", "cast(sub_total as hugeint)"
+    millionths = f"(2 * {amount} * {price} * 100 + {whole}) // (2 * {whole})"
+    return f"cast(cast({millionths} as decimal(20,0)) * cast(0.000001 as decimal(7,6)) as decimal(38,6))"
+
+
 _STAGED = (
     _HEADER
     + """,
@@ -35,10 +44,16 @@ staged as (
          cast(strftime(o_orderdate, '%Y%m%d') as int) "OrderDateKey",
          cast(strftime(shipped, '%Y%m%d') as int) "ShipDateKey",
          cast(strftime(due, '%Y%m%d') as int) "DueDateKey",
-         cast(l_quantity as smallint) "OrderQuantity", l_extendedprice "UnitPrice", l_discount "DiscountAmount",
-         p_retailprice "ProductStandardCost", p_retailprice * l_quantity "TotalProductCost",
-         l_extendedprice "SalesAmount", tax * l_extendedprice / sub_total "TaxAmount",
-         o_totalprice * l_extendedprice / sub_total "FreightAmount"
+         cast(l_quantity as smallint) "OrderQuantity", cast(l_extendedprice as decimal(19,4)) "UnitPrice",
+         cast(l_discount as decimal(19,4)) "DiscountAmount", cast(p_retailprice as decimal(19,4)) "ProductStandardCost",
+         cast(cast(p_retailprice as decimal(19,4)) * cast(l_quantity as smallint) as decimal(25,4)) "TotalProductCost",
+         cast(l_extendedprice as decimal(19,4)) "SalesAmount",
+         """
+    + _share("cast(tax as hugeint)")
+    + """ "TaxAmount",
+         """
+    + _share("cast(round(o_totalprice * 10000) as hugeint)")
+    + """ "FreightAmount"
   from orders join lines on o_orderkey = lines.l_orderkey
     join totals on o_orderkey = totals.l_orderkey
     join part on l_partkey = p_partkey
@@ -216,14 +231,14 @@ model as (
   from part where p_size <= 40)
 select p_partkey "ProductAK", p_brand "ProductNumber", p_name "ProductName", sub.name "ProductSubCategoryName",
        cat.name "ProductCategoryName", p_size > 25 "FinishedGoodsFlag", split_part(p_name, ' ', 1) "Color",
-       p_retailprice "StandardCost", p_retailprice "ListPrice", cast(p_size as varchar) "Size",
+       cast(p_retailprice as decimal(19,4)) "StandardCost", cast(p_retailprice as decimal(19,4)) "ListPrice", cast(p_size as varchar) "Size",
        lower(p_type) "ProductLine", lower(p_brand) "Class", p_type "Style",
        case when model.name is null or model.name = 'NULL' then '' else model.name end "ProductModelName"
 from part left join sub on p_brand = sub.id left join cat on sub.cat = cat.id left join model on p_size = model.id""",
     "dim_promotion": """
 select distinct cast(round(l_discount * 100) as int) "PromotionAK",
        concat('Discount ', cast(cast(round(l_discount * 100) as int) as varchar)) "PromotionName",
-       l_discount "DiscountPercentage", l_returnflag "PromotionType"
+       cast(l_discount as decimal(19,4)) "DiscountPercentage", l_returnflag "PromotionType"
 from lineitem""",
     "dim_employee": f"""
 with {_PERSON}

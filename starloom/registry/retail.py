@@ -123,8 +123,8 @@ class Retail:
             F.col("p_brand").alias("ProductNumber"),
             (F.col("p_size") > 25).alias("FinishedGoodsFlag"),
             F.split("p_name", " ")[0].alias("Color"),
-            F.col("p_retailprice").alias("StandardCost"),
-            F.col("p_retailprice").alias("ListPrice"),
+            F.col("p_retailprice").cast(_MONEY).alias("StandardCost"),
+            F.col("p_retailprice").cast(_MONEY).alias("ListPrice"),
             F.col("p_size").cast("string").alias("Size"),
             F.lower("p_type").alias("ProductLine"),
             F.lower("p_brand").alias("Class"),
@@ -170,7 +170,7 @@ class Retail:
         return self.table("lineitem").select(
             offer.alias("SpecialOfferID"),
             F.concat(F.lit("Discount "), offer.cast("string")).alias("Description"),
-            F.col("l_discount").alias("DiscountPct"),
+            F.col("l_discount").cast(_MONEY).alias("DiscountPct"),
             F.col("l_returnflag").alias("Type"),
             typed_null("string").alias("Category"),
             typed_null("date").alias("StartDate"),
@@ -182,15 +182,15 @@ class Retail:
     def sales_order_header(self) -> DataFrame:
         """Orders with totals, dates and parties taken from their lines.
 
-        Totals are summed as decimals, so they do not depend on the order of the lines.
+        Totals are decimals, wide enough for an order of any number of lines.
         """
         price = F.col("l_extendedprice").cast(_MONEY)
         lines = (
             self.table("lineitem")
             .groupBy(F.col("l_orderkey").alias("o_orderkey"))
             .agg(
-                F.sum(price).cast("double").alias("SubTotal"),
-                F.sum(price * F.col("l_tax").cast("decimal(4,2)")).cast("double").alias("TaxAmt"),
+                F.sum(price).alias("SubTotal"),
+                F.sum(price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(29,4)").alias("TaxAmt"),
                 F.min("l_shipdate").alias("DueDate"),
                 F.max("l_shipdate").alias("ShipDate"),
                 F.min("l_suppkey").alias("SalesPersonID"),
@@ -218,7 +218,7 @@ class Retail:
                 "ShipToAddressID",
                 "SubTotal",
                 "TaxAmt",
-                F.col("o_totalprice").alias("Freight"),
+                F.col("o_totalprice").cast(_MONEY).alias("Freight"),
             )
         )
 
@@ -228,9 +228,9 @@ class Retail:
             F.col("l_quantity").cast("smallint").alias("OrderQty"),
             F.col("l_partkey").alias("ProductID"),
             F.round(F.col("l_discount") * 100).cast("int").alias("SpecialOfferID"),
-            F.col("l_extendedprice").alias("UnitPrice"),
-            F.col("l_discount").alias("UnitPriceDiscount"),
-            F.col("l_extendedprice").alias("LineTotal"),
+            F.col("l_extendedprice").cast(_MONEY).alias("UnitPrice"),
+            F.col("l_discount").cast(_MONEY).alias("UnitPriceDiscount"),
+            F.col("l_extendedprice").cast(_MONEY).alias("LineTotal"),
             *LINE_ORDER,
         )
 
