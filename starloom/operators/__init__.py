@@ -4,11 +4,12 @@ from .lookup import Lookup, inferred_members, lookup_key, lookup_keys, missing_m
 from .members import conform, insert_new, one_per_key, rows_not_in
 from .numbering import assign_keys, max_key, number_in_groups, ordered_index
 from .profile import distinct_values, load_stats, preview
-from .skew import hot_hashes, is_small, skew_join
+from .skew import are_small, hot_hashes, is_small, skew_join
 
 __all__ = [
     "Lookup",
     "apply_history",
+    "are_small",
     "assign_keys",
     "changed_members",
     "conform",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..limits import DEFAULT, Limits
 from .members import conform, rows_not_in
 from .numbering import assign_keys
-from .skew import hot_hashes, is_small, skew_join
+from .skew import are_small, hot_hashes, skew_join
 
 
 @dataclass(frozen=True)
@@ -42,18 +42,17 @@ def lookup_keys(
     """Replace alternative keys by surrogates; every fact row comes out exactly once.
 
     A fact without a match keeps a NULL key, or gets ``unknown_key`` if that is
-    given.  Each dimension is measured once, however many roles it plays; hot
-    keys are searched only for big ones, and in the fact as it came in.
+    given.  All dimensions are measured in one job, each once however many roles
+    it plays; hot keys are searched only for big ones, in the fact as it came in.
     """
     staged = fact
-    small: dict[int, bool] = {}
-    for role in lookups:
-        pairs = role.pairs(expiry)
-        if id(role.dim) not in small:
-            small[id(role.dim)] = is_small(pairs, limits)
-        fits = small[id(role.dim)]
-        hot = [] if fits else hot_hashes(staged, role.fact_key, limits)
-        fact = skew_join(fact, pairs, role.fact_key, "left", limits, hot, fits).drop(role.fact_key)
+    pairs = [role.pairs(expiry) for role in lookups]
+    first = {id(role.dim): i for i, role in reversed(list(enumerate(lookups)))}
+    fits = dict(zip(first, are_small([pairs[i] for i in first.values()], limits), strict=True))
+    for role, pair in zip(lookups, pairs, strict=True):
+        small = fits[id(role.dim)]
+        hot = [] if small else hot_hashes(staged, role.fact_key, limits)
+        fact = skew_join(fact, pair, role.fact_key, "left", limits, hot, small).drop(role.fact_key)
         if unknown_key is not None:
             fact = fact.fillna({role.role_key: unknown_key})
     return fact

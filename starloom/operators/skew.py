@@ -9,6 +9,7 @@ here, so a mostly empty key column does not end up in one task either.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -22,18 +23,29 @@ def as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-def measured_bytes(df: DataFrame) -> float:
-    """Size of ``df`` once built into a hash table, from one aggregate over it."""
-    if any(isinstance(f.dataType, _NESTED) for f in df.schema):
-        return float("inf")
+def _size(df: DataFrame, tag: int) -> DataFrame:
+    """One row: the bytes ``df`` takes once built into a hash table."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, _VARIABLE)]
     length = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in texts), F.lit(0))
-    rows, text = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(length.cast("long")), F.lit(0))).first()
-    return rows * (32 + 16 * len(df.columns)) + text
+    row = F.lit(32 + 16 * len(df.columns)) + length
+    return df.agg(F.lit(tag).alias("tag"), F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("bytes"))
+
+
+def are_small(dfs: Sequence[DataFrame], limits: Limits = DEFAULT) -> list[bool]:
+    """Which frames may be broadcast; they are all measured in one job.
+
+    Nested columns have no simple size, so a frame with one is never called small.
+    """
+    flat = [i for i, df in enumerate(dfs) if not any(isinstance(f.dataType, _NESTED) for f in df.schema)]
+    if not flat:
+        return [False] * len(dfs)
+    sizes = reduce(DataFrame.unionAll, [_size(dfs[i], i) for i in flat]).collect()  # one row per frame
+    small = {row["tag"] for row in sizes if row["bytes"] <= limits.broadcast_bytes}
+    return [i in small for i in range(len(dfs))]
 
 
 def is_small(df: DataFrame, limits: Limits = DEFAULT) -> bool:
-    return measured_bytes(df) <= limits.broadcast_bytes
+    return are_small([df], limits)[0]
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -54,11 +66,12 @@ def hot_hashes(df: DataFrame, keys: str | Sequence[str], limits: Limits = DEFAUL
         df.select(key_hash(keys).alias("h"))
         .groupBy(F.pmod(F.spark_partition_id(), F.lit(limits.sketch_groups)).alias("g"))
         .agg(F.expr(f"approx_top_k_accumulate(h, {items})").alias("s"), F.count(F.lit(1)).alias("n"))
+        .groupBy(F.lit("all"))  # a group, so that no rows give no sketch instead of a failed merge
         .agg(F.expr(f"approx_top_k_combine(s, {items})").alias("s"), F.sum("n").alias("n"))
         .select("n", F.expr(f"approx_top_k_estimate(s, {most})").alias("top"))
         .first()
     )
-    if not found or not found["n"]:
+    if found is None:
         return []
     return sorted(t["item"] for t in found["top"] if t["count"] >= found["n"] * limits.hot_share)
 
@@ -108,9 +121,10 @@ def skew_join(
         right = right.distinct()  # combined before the shuffle: repeats on this side cost nothing
     if hot is None:
         hot = hot_hashes(left, keys, limits)
+    # A size that was measured, or is known to grow, is not left to an estimate.
     if not hot:
-        return left.join(right, keys, how)
-    cold_rows = left.filter(~is_hot(keys, hot)).join(right, keys, how)
+        return left.join(right.hint("merge"), keys, how)
+    cold_rows = left.filter(~is_hot(keys, hot)).join(right.hint("merge"), keys, how)
     return cold_rows.unionByName(_join_hot(left.filter(is_hot(keys, hot)), right, keys, how, hot, limits))
 
 
@@ -125,6 +139,6 @@ def _join_hot(
     copies = F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1)))
     return (
         left.withColumn("_salt", salt)
-        .join(right.withColumn("_salt", copies), [*keys, "_salt"], how)
+        .join(right.withColumn("_salt", copies).hint("merge"), [*keys, "_salt"], how)
         .drop("_salt")
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..limits import DEFAULT, Limits
@@ -65,36 +67,43 @@ class Warehouse:
             rewrite_table(apply_history(self.table(table), staged, alt_key, key, tracked, run_ts, **options), name)
 
     def load_dimensions(self, src: Mapping[str, DataFrame], run_ts: datetime) -> None:
+        self._together(*self._dimension_loads(src, run_ts))
+
+    def _dimension_loads(self, src: Mapping[str, DataFrame], run_ts: datetime) -> list[Callable[[], object]]:
+        """The loads of all dimensions without a modification window; they touch different tables."""
         lim = self.limits
-        self.merge("DimPromotion", dimensions.promotion_dimension(src["SpecialOffer"]), "PromotionAK", "PromotionKey")
-        self.merge(
-            "DimProduct",
-            dimensions.product_dimension(
-                src["Product"], src["ProductSubcategory"], src["ProductCategory"], src["ProductModel"], lim
-            ),
-            "ProductAK",
-            "ProductKey",
-        )
-        self.merge(
-            "DimGeography",
-            dimensions.geography_dimension(src["Address"], src["StateProvince"], src["CountryRegion"], lim),
-            "GeographyAK",
-            "GeographyKey",
-        )
-        self.merge(
-            "DimSalesTerritory",
-            dimensions.territory_dimension(src["SalesTerritory"], src["CountryRegion"], lim),
-            "SalesTerritoryAK",
-            "SalesTerritoryKey",
-        )
-        self.merge(
-            "DimEmployee",
-            dimensions.employee_dimension(src["Employee"], src["Person"], src["EmailAddress"], run_ts, lim),
-            "EmployeeAK",
-            "EmployeeKey",
-            "EmailAddress",
-            run_ts,
-        )
+
+        def promotion():
+            staged = dimensions.promotion_dimension(src["SpecialOffer"])
+            self.merge("DimPromotion", staged, "PromotionAK", "PromotionKey")
+
+        def product():
+            parts = [src[t] for t in ("Product", "ProductSubcategory", "ProductCategory", "ProductModel")]
+            self.merge("DimProduct", dimensions.product_dimension(*parts, lim), "ProductAK", "ProductKey")
+
+        def geography():
+            parts = [src[t] for t in ("Address", "StateProvince", "CountryRegion")]
+            self.merge("DimGeography", dimensions.geography_dimension(*parts, lim), "GeographyAK", "GeographyKey")
+
+        def territory():
+            staged = dimensions.territory_dimension(src["SalesTerritory"], src["CountryRegion"], lim)
+            self.merge("DimSalesTerritory", staged, "SalesTerritoryAK", "SalesTerritoryKey")
+
+        def employee():
+            parts = [src[t] for t in ("Employee", "Person", "EmailAddress")]
+            staged = dimensions.employee_dimension(*parts, run_ts, lim)
+            self.merge("DimEmployee", staged, "EmployeeAK", "EmployeeKey", "EmailAddress", run_ts)
+
+        return [promotion, product, geography, territory, employee]
+
+    def _together(self, *steps: Callable[[], object]) -> list:
+        """Run independent steps at the same time; Spark interleaves their jobs.
+
+        All of them come to an end before the first error, if any, is raised.
+        """
+        with ThreadPoolExecutor(len(steps)) as pool:
+            started = [pool.submit(inheritable_thread_target(self.spark)(step)) for step in steps]
+        return [job.result() for job in started]
 
     def load_customers(self, src: Mapping[str, DataFrame], run_ts: datetime, strict: bool = False) -> None:
         """Customers modified since the last good run; the watermark moves only after they are stored."""
@@ -142,10 +151,12 @@ class Warehouse:
         line_order: Sequence[str] = ("SalesOrderDetailID",),
         fact_key: str | Sequence[str] = "SalesOrderNumber",
     ) -> None:
-        """Dimensions, customers, calendar, order lines, facts - in this order."""
-        self.load_dimensions(src, run_ts)
-        self.load_customers(src, run_ts)
-        load_calendar(self.name("DimDate"), *calendar, self.spark)
+        """All dimensions and the calendar, then the facts that refer to them."""
+        self._together(
+            *self._dimension_loads(src, run_ts),
+            lambda: self.load_customers(src, run_ts),
+            lambda: load_calendar(self.name("DimDate"), *calendar, self.spark),
+        )
         staged = sales.stage_sales(
             src["SalesOrderHeader"], src["SalesOrderDetail"], src["Product"], line_order, self.limits
         )

@@ -8,6 +8,7 @@ by dates in the data, so unmatched and early-arriving rows occur at every scale.
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -22,6 +23,7 @@ ORDERS_LOADED_UNTIL = datetime(1998, 1, 1)
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
 
 _MONEY = "decimal(19,4)"
+_TOTAL = "decimal(22,4)"
 
 
 def ntz(moment: datetime) -> Column:
@@ -182,15 +184,16 @@ class Retail:
     def sales_order_header(self) -> DataFrame:
         """Orders with totals, dates and parties taken from their lines.
 
-        Totals are decimals, wide enough for an order of any number of lines.
+        Totals are summed as whole cents, or hundredths of them, and become decimals per order.
         """
-        price = F.col("l_extendedprice").cast(_MONEY)
+        cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+        rate = F.round(F.col("l_tax") * 100).cast("long")
         lines = (
             self.table("lineitem")
             .groupBy(F.col("l_orderkey").alias("o_orderkey"))
             .agg(
-                F.sum(price).alias("SubTotal"),
-                F.sum(price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(29,4)").alias("TaxAmt"),
+                (F.sum(cents) * F.lit(Decimal("0.01"))).cast(_TOTAL).alias("SubTotal"),
+                (F.sum(cents * rate) * F.lit(Decimal("0.0001"))).cast(_TOTAL).alias("TaxAmt"),
                 F.min("l_shipdate").alias("DueDate"),
                 F.max("l_shipdate").alias("ShipDate"),
                 F.min("l_suppkey").alias("SalesPersonID"),
