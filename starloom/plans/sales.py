@@ -11,7 +11,7 @@ from ..limits import DEFAULT, Limits
 from ..operators.lookup import Lookup, lookup_keys
 from ..operators.members import rows_not_in
 from ..operators.numbering import number_in_groups
-from ..operators.skew import skew_join
+from ..operators.skew import is_small, skew_join
 
 
 def stage_sales(
@@ -19,13 +19,16 @@ def stage_sales(
     detail: DataFrame,
     product: DataFrame,
     line_order: Sequence[str] = ("SalesOrderDetailID",),
+    few_orders: bool = False,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """One row per order line, numbered within its order, with cost and its share of tax and freight.
 
     Lines are shuffled once, by order: the numbering and the join with the order
     header share that partitioning.  Orders too big for one task are numbered
-    and joined apart (see ``number_in_groups``).
+    and joined apart (see ``number_in_groups``).  If ``few_orders`` says that the
+    headers are few - only new orders, say - and their size proves it, lines of
+    other orders are dropped by a broadcast before any shuffle.
     """
     orders = header.select(
         "SalesOrderID",
@@ -47,13 +50,16 @@ def stage_sales(
     lines = detail.select(*dict.fromkeys([*wanted, *line_order]))
     costs = product.select(F.col("ProductID").alias("ProductAK"), F.col("StandardCost").alias("ProductStandardCost"))
 
+    few = few_orders and is_small(orders, limits)
+    if few:
+        lines = skew_join(lines, orders, "SalesOrderID", "left_semi", limits, small=True)
     sold = number_in_groups(
         lines,
         "SalesOrderID",
         line_order,
         "SalesOrderLineNumber",
         limits,
-        then=lambda rows, hot: skew_join(rows, orders, "SalesOrderID", "inner", limits, hot or [], small=False),
+        then=lambda rows, hot: skew_join(rows, orders, "SalesOrderID", "inner", limits, hot or [], small=few),
     ).withColumnRenamed("ProductID", "ProductAK")
     return skew_join(sold, costs, "ProductAK", "inner", limits).select(
         "SalesOrderNumber",

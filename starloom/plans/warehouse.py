@@ -20,6 +20,7 @@ from . import dimensions, sales
 from .calendar import load_calendar
 
 CUSTOMER_FLOW = "DimCustomer"
+ORDER = "SalesOrderNumber"
 
 # The days the calendar covers.
 CALENDAR = (date(1999, 12, 31), date(2025, 1, 2))
@@ -119,11 +120,37 @@ class Warehouse:
         self,
         staged: DataFrame,
         run_ts: datetime,
-        key: str | Sequence[str] = "SalesOrderNumber",
+        key: str | Sequence[str] = ORDER,
         unknown_key: int | None = None,
     ) -> None:
-        """Append the lines of new orders; customers nobody has heard of are entered first."""
-        lines = materialize(sales.new_fact_rows(staged, self.table("FactSales"), key, self.limits), "new-facts")
+        """Append the staged lines whose ``key`` is not in the fact table yet."""
+        new = sales.new_fact_rows(staged, self.table("FactSales"), key, self.limits)
+        self._append_facts(materialize(new, "new-facts"), run_ts, unknown_key)
+
+    def new_lines(
+        self,
+        src: Mapping[str, DataFrame],
+        line_order: Sequence[str] = ("SalesOrderDetailID",),
+        key: str | Sequence[str] = ORDER,
+    ) -> DataFrame:
+        """Stage the order lines that are not in the fact table yet.
+
+        Where whole orders are compared, known ones are left out before their
+        lines are looked at, so a small addition costs no shuffle of all lines.
+        """
+        header, detail, product = (src[t] for t in ("SalesOrderHeader", "SalesOrderDetail", "Product"))
+        whole_orders = key in (ORDER, [ORDER], (ORDER,))
+        if whole_orders:
+            header = materialize(
+                sales.new_fact_rows(header, self.table("FactSales"), ORDER, self.limits), "new-orders"
+            )
+        staged = sales.stage_sales(header, detail, product, line_order, whole_orders, self.limits)
+        if not whole_orders:
+            staged = sales.new_fact_rows(staged, self.table("FactSales"), key, self.limits)
+        return materialize(staged, "new-facts")
+
+    def _append_facts(self, lines: DataFrame, run_ts: datetime, unknown_key: int | None = None) -> None:
+        """Look up the keys of stored new lines; customers nobody has heard of are entered first."""
         append_table(
             inferred_members(
                 lines, self.table("DimCustomer"), "CustomerAK", "CustomerKey", run_ts, limits=self.limits
@@ -149,18 +176,16 @@ class Warehouse:
         run_ts: datetime,
         calendar: tuple[str | date, str | date] = CALENDAR,
         line_order: Sequence[str] = ("SalesOrderDetailID",),
-        fact_key: str | Sequence[str] = "SalesOrderNumber",
+        fact_key: str | Sequence[str] = ORDER,
     ) -> None:
-        """All dimensions and the calendar, then the facts that refer to them."""
-        self._together(
+        """All dimensions, the calendar and the staging of order lines at once, then the facts."""
+        *_, lines = self._together(
             *self._dimension_loads(src, run_ts),
             lambda: self.load_customers(src, run_ts),
             lambda: load_calendar(self.name("DimDate"), *calendar, self.spark),
+            lambda: self.new_lines(src, line_order, fact_key),
         )
-        staged = sales.stage_sales(
-            src["SalesOrderHeader"], src["SalesOrderDetail"], src["Product"], line_order, self.limits
-        )
-        self.load_facts(staged, run_ts, fact_key)
+        self._append_facts(lines, run_ts)
 
     def row_counts(self, *tables: str) -> DataFrame:
         """Rows per table: one small frame to look at after a run."""
