@@ -24,8 +24,6 @@ class Limits:
     # A window over a frame of at most this many rows fits one task whatever
     # the skew, so no search for hot groups is needed.
     window_rows: int = 4_000_000
-    # Ways to split a hot key when both sides are too big to broadcast.
-    salts: int = 64
 
 
 DEFAULT = Limits()

@@ -4,7 +4,7 @@ from .lookup import Lookup, inferred_members, lookup_key, lookup_keys, missing_m
 from .members import conform, insert_new, one_per_key, rows_not_in
 from .numbering import assign_keys, max_key, number_in_groups, ordered_index
 from .profile import distinct_values, load_stats, preview
-from .skew import are_small, hot_hashes, is_small, skew_join
+from .skew import are_small, hot_keys, is_small, skew_join
 
 __all__ = [
     "Lookup",
@@ -15,7 +15,7 @@ __all__ = [
     "conform",
     "distinct_values",
     "has_changes",
-    "hot_hashes",
+    "hot_keys",
     "inferred_members",
     "insert_new",
     "is_small",

@@ -10,7 +10,7 @@ from ..functions import changed, typed_null
 from ..limits import DEFAULT, Limits
 from .members import conform, one_per_key
 from .numbering import assign_keys
-from .skew import as_list, skew_join
+from .skew import as_list, is_small, skew_join
 
 _NEW = "_new_"
 
@@ -35,7 +35,8 @@ def _matched(
     incoming = incoming.select(
         alt_key, *[F.col(c).alias(_NEW + c) for c in incoming.columns if c != alt_key], F.lit(True).alias("_seen")
     )
-    both = skew_join(dest, incoming, alt_key, "left", limits)
+    # Staging may repeat a member, so its own size is an upper bound and cheaper to take.
+    both = skew_join(dest, incoming, alt_key, "left", limits, small=is_small(staging, limits))
     current = F.col(expiry).isNull() if expiry in dest.columns else F.lit(True)
     waiting = F.coalesce(F.col(inferred) == 1, F.lit(False)) if inferred else F.lit(False)
     seen = F.coalesce(F.col("_seen"), F.lit(False))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..limits import DEFAULT, Limits
 from .members import conform, rows_not_in
 from .numbering import assign_keys
-from .skew import are_small, hot_hashes, skew_join
+from .skew import are_small, hot_keys, skew_join
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,7 @@ def lookup_keys(
     fits = dict(zip(first, are_small([pairs[i] for i in first.values()], limits), strict=True))
     for role, pair in zip(lookups, pairs, strict=True):
         small = fits[id(role.dim)]
-        hot = [] if small else hot_hashes(staged, role.fact_key, limits)
+        hot = {} if small else hot_keys(staged, role.fact_key, limits)
         fact = skew_join(fact, pair, role.fact_key, "left", limits, hot, small).drop(role.fact_key)
         if unknown_key is not None:
             fact = fact.fillna({role.role_key: unknown_key})
@@ -66,7 +66,7 @@ def lookup_key(fact: DataFrame, dim: DataFrame, dim_key: str, alt_key: str, **op
 def missing_members(fact: DataFrame, dim: DataFrame, alt_key: str, limits: Limits = DEFAULT) -> DataFrame:
     """Distinct alternative keys that the fact mentions and the dimension lacks."""
     mentioned = fact.select(alt_key).filter(F.col(alt_key).isNotNull()).distinct()
-    return rows_not_in(mentioned, dim, alt_key, limits, hot=[])
+    return rows_not_in(mentioned, dim, alt_key, limits, hot={})
 
 
 def inferred_members(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..limits import DEFAULT, Limits
 from .numbering import assign_keys
-from .skew import as_list, skew_join
+from .skew import HotKeys, as_list, skew_join
 
 
 def conform(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def rows_not_in(
     loaded: DataFrame,
     key: str | Sequence[str],
     limits: Limits = DEFAULT,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """Staged rows whose key has not been loaded yet."""
@@ -73,6 +73,6 @@ def insert_new(
 
     A staged row without an alternative key names no member and is left out.
     """
-    members = one_per_key(staging.filter(F.col(alt_key).isNotNull()), alt_key, latest)
-    new = rows_not_in(members, dest, alt_key, limits, hot=[])
-    return conform(assign_keys(new, alt_key, key, after=dest), dest)
+    # Known members go first: usually most rows, and then only new ones are compared with each other.
+    new = rows_not_in(staging.filter(F.col(alt_key).isNotNull()), dest, alt_key, limits)
+    return conform(assign_keys(one_per_key(new, alt_key, latest), alt_key, key, after=dest), dest)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..limits import DEFAULT, Limits
 from ..scratch import materialize
-from .skew import as_list, hot_hashes, is_hot
+from .skew import HotKeys, as_list, hot_keys, is_hot
 
 # monotonically_increasing_id() keeps the partition above bit 33 and the row number below it.
 _ROW_BITS = 33
@@ -64,7 +64,7 @@ def number_in_groups(
     order_by: str | Sequence[str],
     name: str,
     limits: Limits = DEFAULT,
-    then: Callable[[DataFrame, Sequence[int] | None], DataFrame] | None = None,
+    then: Callable[[DataFrame, HotKeys], DataFrame] | None = None,
 ) -> DataFrame:
     """``row_number()`` inside each group, for groups of any size.
 
@@ -73,14 +73,14 @@ def number_in_groups(
 
     ``then(rows, hot)`` is applied to each of the two parts before they are put
     together, so that a join on the group key can reuse the partitioning of the
-    window; ``hot`` is None for the ordinary part.
+    window; ``hot`` is empty for the ordinary part.
     """
     groups, order = as_list(group), as_list(order_by)
     then = then or (lambda rows, _hot: rows)
-    hot = [] if df.count() <= limits.window_rows else hot_hashes(df, groups, limits)
+    hot = {} if df.count() <= limits.window_rows else hot_keys(df, groups, limits)
     plain = df.filter(~is_hot(groups, hot)) if hot else df
     line: Column = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
-    numbered = then(plain.withColumn(name, line), None)
+    numbered = then(plain.withColumn(name, line), {})
     if not hot:
         return numbered
     return numbered.unionByName(then(_number_hot(df.filter(is_hot(groups, hot)), groups, order, name), hot))

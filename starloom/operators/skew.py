@@ -1,13 +1,15 @@
 """Joins that neither assume a small side nor an even spread of keys.
 
 A side is broadcast only after its size was measured.  Otherwise both sides are
-shuffled, except the rows of hot keys: those stay where they are and meet a
-broadcast of the few matching rows of the other side.  NULL counts as a key
-here, so a mostly empty key column does not end up in one task either.
+shuffled, and the rows of each hot key are dealt to several tasks ("salts") in
+proportion to its share; the matching rows of the other side are repeated once
+per salt.  NULL counts as a key here, so a mostly empty key column does not end
+up in one task either.  Each side is read once, whatever the skew.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -15,6 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..limits import DEFAULT, Limits
 
+# Hash of a hot key -> number of tasks its rows are dealt to.
+HotKeys = dict[int, int]
+
 _VARIABLE = (T.StringType, T.BinaryType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
@@ -52,8 +57,8 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
 
 
-def hot_hashes(df: DataFrame, keys: str | Sequence[str], limits: Limits = DEFAULT) -> list[int]:
-    """Hashes of the keys holding at least ``hot_share`` of the rows (at most ``1 / hot_share`` of them).
+def hot_keys(df: DataFrame, keys: str | Sequence[str], limits: Limits = DEFAULT) -> HotKeys:
+    """The keys that hold at least ``hot_share`` of the rows (so at most ``1 / hot_share`` keys).
 
     One pass over the key columns: each task fills a fixed-size frequent-items
     sketch, and sketches are merged in two levels.  The answer steers a plan and
@@ -72,12 +77,21 @@ def hot_hashes(df: DataFrame, keys: str | Sequence[str], limits: Limits = DEFAUL
         .first()
     )
     if found is None:
-        return []
-    return sorted(t["item"] for t in found["top"] if t["count"] >= found["n"] * limits.hot_share)
+        return {}
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = {t["item"]: t["count"] / found["n"] for t in found["top"]}
+    return {h: max(2, math.ceil(2 * share * tasks)) for h, share in shares.items() if share >= limits.hot_share}
+
 
+def is_hot(keys: str | Sequence[str], hot: HotKeys) -> Column:
+    return key_hash(as_list(keys)).isin(list(hot))
 
-def is_hot(keys: str | Sequence[str], hashes: Sequence[int]) -> Column:
-    return key_hash(as_list(keys)).isin(list(hashes))
+
+def _with_salts(df: DataFrame, keys: list[str], hot: HotKeys) -> DataFrame:
+    """Add ``_salts``, the number of tasks each row's key is dealt to (NULL for ordinary keys)."""
+    table = df.sparkSession.createDataFrame(list(hot.items()), "_hash long, _salts int")
+    # At most 1 / hot_share rows.
+    return df.withColumn("_hash", key_hash(keys)).join(F.broadcast(table), "_hash", "left").drop("_hash")
 
 
 def _same_types(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -96,7 +110,7 @@ def skew_join(
     on: str | Sequence[str],
     how: str = "left",
     limits: Limits = DEFAULT,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """``left.join(right, on, how)`` for inner, left, left_semi and left_anti joins.
@@ -120,25 +134,13 @@ def skew_join(
     if how in ("left_semi", "left_anti"):
         right = right.distinct()  # combined before the shuffle: repeats on this side cost nothing
     if hot is None:
-        hot = hot_hashes(left, keys, limits)
-    # A size that was measured, or is known to grow, is not left to an estimate.
+        hot = hot_keys(left, keys, limits)
+    # A size that was measured, or is known to grow, is not left to an estimate: hence the hint.
     if not hot:
         return left.join(right.hint("merge"), keys, how)
-    cold_rows = left.filter(~is_hot(keys, hot)).join(right.hint("merge"), keys, how)
-    return cold_rows.unionByName(_join_hot(left.filter(is_hot(keys, hot)), right, keys, how, hot, limits))
-
-
-def _join_hot(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: Sequence[int], limits: Limits
-) -> DataFrame:
-    right = right.filter(is_hot(keys, hot))
-    if is_small(right, limits):
-        return left.join(F.broadcast(right), keys, how)
-    # Many rows per key on both sides: split the left rows, repeat the right ones.
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(limits.salts)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1)))
-    return (
-        left.withColumn("_salt", salt)
-        .join(right.withColumn("_salt", copies).hint("merge"), [*keys, "_salt"], how)
-        .drop("_salt")
-    )
+    # The salt depends on the row alone, so a task that runs again deals it the same way.
+    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.col("_salts")).cast("int")
+    dealt = _with_salts(left, keys, hot).withColumn("_salt", F.coalesce(deal, F.lit(0))).drop("_salts")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
+    repeated = _with_salts(right, keys, hot).withColumn("_salt", every).drop("_salts")
+    return dealt.join(repeated.hint("merge"), [*keys, "_salt"], how).drop("_salt")

@@ -59,7 +59,7 @@ def stage_sales(
         line_order,
         "SalesOrderLineNumber",
         limits,
-        then=lambda rows, hot: skew_join(rows, orders, "SalesOrderID", "inner", limits, hot or [], small=few),
+        then=lambda rows, hot: skew_join(rows, orders, "SalesOrderID", "inner", limits, hot, small=few),
     ).withColumnRenamed("ProductID", "ProductAK")
     return skew_join(sold, costs, "ProductAK", "inner", limits).select(
         "SalesOrderNumber",

@@ -27,16 +27,11 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-# The plans for large data, run on small data: nothing is small, most keys are hot.
-SALTED = Limits(broadcast_bytes=-1, hot_share=0.05, sketch_items=1024, window_rows=0, salts=3)
-# Only the handful of rows that belong to hot keys may be broadcast.
-SPLIT = Limits(broadcast_bytes=1500, hot_share=0.05, sketch_items=1024, window_rows=0)
-# Nothing is small and nothing is hot.
+# The plans for large data, run on small data: nothing is small; most keys are hot, or none is.
+SALTED = Limits(broadcast_bytes=-1, hot_share=0.05, sketch_items=1024, window_rows=0)
 SHUFFLED = Limits(broadcast_bytes=-1, hot_share=0.9, sketch_items=1024, window_rows=0)
 
-ALL_LIMITS = pytest.mark.parametrize(
-    "limits", [Limits(), SALTED, SPLIT, SHUFFLED], ids=["default", "salted", "split", "shuffled"]
-)
+ALL_LIMITS = pytest.mark.parametrize("limits", [Limits(), SALTED, SHUFFLED], ids=["default", "salted", "shuffled"])
 
 
 def rows(df, *columns):

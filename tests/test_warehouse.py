@@ -5,7 +5,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import SPLIT, rows
+from conftest import SALTED, rows
 from pyspark.sql import functions as F
 
 from starloom import plans, sources
@@ -94,9 +94,9 @@ def world(spark, **changes):
     return {name: table(spark, name, *members) for name, members in data.items()}
 
 
-@pytest.fixture(params=["default", "split"])
+@pytest.fixture(params=["default", "salted"])
 def warehouse(spark, tmp_path, request):
-    limits = {"default": Limits(), "split": SPLIT}[request.param]
+    limits = {"default": Limits(), "salted": SALTED}[request.param]
     return plans.Warehouse(spark, f"w_{uuid.uuid4().hex}", limits).create(str(tmp_path / "db"))
 
 
