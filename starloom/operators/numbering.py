@@ -65,6 +65,7 @@ def number_in_groups(
     name: str,
     limits: Limits = DEFAULT,
     then: Callable[[DataFrame, HotKeys], DataFrame] | None = None,
+    size_from: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number()`` inside each group, for groups of any size.
 
@@ -73,11 +74,13 @@ def number_in_groups(
 
     ``then(rows, hot)`` is applied to each of the two parts before they are put
     together, so that a join on the group key can reuse the partitioning of the
-    window; ``hot`` is empty for the ordinary part.
+    window; ``hot`` is empty for the ordinary part.  ``size_from`` is a cheaper
+    frame with at least as many rows, to tell whether hot groups are possible.
     """
     groups, order = as_list(group), as_list(order_by)
     then = then or (lambda rows, _hot: rows)
-    hot = {} if df.count() <= limits.window_rows else hot_keys(df, groups, limits)
+    bound = df if size_from is None else size_from
+    hot = {} if bound.count() <= limits.window_rows else hot_keys(bound, groups, limits)
     plain = df.filter(~is_hot(groups, hot)) if hot else df
     line: Column = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
     numbered = then(plain.withColumn(name, line), {})

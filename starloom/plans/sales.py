@@ -24,8 +24,9 @@ def stage_sales(
 ) -> DataFrame:
     """One row per order line, numbered within its order, with cost and its share of tax and freight.
 
-    Lines are shuffled once, by order: the numbering and the join with the order
-    header share that partitioning.  Orders too big for one task are numbered
+    Lines are shuffled once, by order (and once more, by product, only if products
+    are too many to broadcast): the numbering and the join with the order header
+    share that partitioning.  Orders too big for one task are numbered
     and joined apart (see ``number_in_groups``).  If ``few_orders`` says that the
     headers are few - only new orders, say - and their size proves it, lines of
     other orders are dropped by a broadcast before any shuffle.
@@ -48,24 +49,27 @@ def stage_sales(
     )
     wanted = ["SalesOrderID", "ProductID", "SpecialOfferID", "OrderQty", "UnitPrice", "UnitPriceDiscount", "LineTotal"]
     lines = detail.select(*dict.fromkeys([*wanted, *line_order]))
-    costs = product.select(F.col("ProductID").alias("ProductAK"), F.col("StandardCost").alias("ProductStandardCost"))
+    costs = product.select("ProductID", F.col("StandardCost").alias("ProductStandardCost"))
 
     few = few_orders and is_small(orders, limits)
     if few:
         lines = skew_join(lines, orders, "SalesOrderID", "left_semi", limits, small=True)
+    # A line without a product takes no number, so products come first.
+    costed = skew_join(lines, costs, "ProductID", "inner", limits)
     sold = number_in_groups(
-        lines,
+        costed,
         "SalesOrderID",
         line_order,
         "SalesOrderLineNumber",
         limits,
         then=lambda rows, hot: skew_join(rows, orders, "SalesOrderID", "inner", limits, hot, small=few),
-    ).withColumnRenamed("ProductID", "ProductAK")
-    return skew_join(sold, costs, "ProductAK", "inner", limits).select(
+        size_from=lines,
+    )
+    return sold.select(
         "SalesOrderNumber",
         "SalesOrderLineNumber",
         "RevisionNumber",
-        "ProductAK",
+        F.col("ProductID").alias("ProductAK"),
         "CustomerAK",
         "EmployeeAK",
         F.col("SpecialOfferID").alias("PromotionAK"),

@@ -197,3 +197,12 @@ def test_unmatched_keys_may_get_a_number(spark, tmp_path):
     staged = plans.stage_sales(src["SalesOrderHeader"], src["SalesOrderDetail"], src["Product"])
     w.load_facts(staged, DAY2, unknown_key=-1)
     assert rows(w.table("FactSales").select("SalesPersonKey").distinct()) == [(-1,), (1,)]
+
+
+def test_lines_without_a_product_take_no_number(spark):
+    src = world(spark, SalesOrderDetail=[line(1, 10), line(1, 11, product=999), line(1, 12)])
+    for limits in (Limits(), SALTED):
+        staged = plans.stage_sales(
+            src["SalesOrderHeader"], src["SalesOrderDetail"], src["Product"], few_orders=True, limits=limits
+        )
+        assert rows(staged, "SalesOrderNumber", "SalesOrderLineNumber") == [("SO1", 1), ("SO1", 2)]
