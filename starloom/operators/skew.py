@@ -20,6 +20,9 @@ from ..limits import DEFAULT, Limits
 # Hash of a hot key -> number of tasks its rows are dealt to.
 HotKeys = dict[int, int]
 
+# Generous sizes of a row and of a fixed-width column in a hash table.
+_ROW_BYTES, _COLUMN_BYTES = 32, 16
+
 _VARIABLE = (T.StringType, T.BinaryType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
@@ -32,7 +35,7 @@ def _size(df: DataFrame, tag: int) -> DataFrame:
     """One row: the bytes ``df`` takes once built into a hash table."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, _VARIABLE)]
     length = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in texts), F.lit(0))
-    row = F.lit(32 + 16 * len(df.columns)) + length
+    row = F.lit(_ROW_BYTES + _COLUMN_BYTES * len(df.columns)) + length
     return df.agg(F.lit(tag).alias("tag"), F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("bytes"))
 
 
@@ -50,6 +53,10 @@ def are_small(dfs: Sequence[DataFrame], limits: Limits = DEFAULT) -> list[bool]:
 
 
 def is_small(df: DataFrame, limits: Limits = DEFAULT) -> bool:
+    """May ``df`` be broadcast?  Rows are counted first, so the text of a big table is never read for this."""
+    if any(isinstance(f.dataType, _VARIABLE) for f in df.schema):
+        if df.count() * (_ROW_BYTES + _COLUMN_BYTES * len(df.columns)) > limits.broadcast_bytes:
+            return False
     return are_small([df], limits)[0]
 
 

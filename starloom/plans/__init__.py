@@ -8,9 +8,10 @@ from .dimensions import (
     territory_dimension,
 )
 from .sales import fact_rows, new_fact_rows, stage_sales
-from .warehouse import Warehouse
+from .warehouse import Files, Warehouse
 
 __all__ = [
+    "Files",
     "Warehouse",
     "calendar_gap",
     "customer_dimension",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark import inheritable_thread_target
@@ -15,7 +16,10 @@ from ..operators.history import apply_history, has_changes
 from ..operators.lookup import inferred_members
 from ..operators.members import insert_new
 from ..scratch import materialize
-from ..sinks.tables import append_table, create_tables, rewrite_table
+from ..sinks.tables import append_table, create_tables, rewrite_table, write_staging
+from ..sources.freshness import needs_rebuild
+from ..sources.scans import scan_parquet, scan_source
+from ..sources.schemas import SOURCE_TABLES, STAGING_SOURCES
 from . import dimensions, sales
 from .calendar import load_calendar
 
@@ -26,15 +30,43 @@ ORDER = "SalesOrderNumber"
 CALENDAR = (date(1999, 12, 31), date(2025, 1, 2))
 
 
+@dataclass(frozen=True)
+class Files:
+    """Where source files lie and where staging sets are kept between runs."""
+
+    source: str
+    staging: str
+    suffix: str = ".csv"
+
+    def paths(self, tables: Sequence[str]) -> list[str]:
+        return [f"{self.source.rstrip('/')}/{t}{self.suffix}" for t in tables]
+
+
 class Warehouse:
     """Names of the tables of one warehouse, and the steps that load them.
 
     Every step reads what earlier steps stored and appends or swaps whole
     tables, so a run that stopped half-way is simply run again.
+
+    With ``files``, staging sets are kept, and one is rebuilt only if it is
+    missing or a source file is newer; either way it is then merged.
     """
 
-    def __init__(self, spark: SparkSession, database: str, limits: Limits = DEFAULT):
-        self.spark, self.database, self.limits = spark, database, limits
+    def __init__(self, spark: SparkSession, database: str, limits: Limits = DEFAULT, files: Files | None = None):
+        self.spark, self.database, self.limits, self.files = spark, database, limits, files
+
+    def sources(self) -> dict[str, DataFrame]:
+        """The declared source tables as scans of the source folder."""
+        return {t: scan_source(self.spark, self.files.source, t, self.files.suffix) for t in SOURCE_TABLES}
+
+    def stage(self, name: str, build: Callable[[], DataFrame], keep: bool = False) -> DataFrame:
+        """The staging set ``name``; without files it is stored only if asked to ``keep`` it for several uses."""
+        if self.files is None:
+            return materialize(build(), name) if keep else build()
+        path = f"{self.files.staging.rstrip('/')}/{name}"
+        if needs_rebuild(self.spark, path, self.files.paths(STAGING_SOURCES[name])):
+            return write_staging(build(), path)
+        return scan_parquet(self.spark, path)
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
@@ -59,13 +91,12 @@ class Warehouse:
     ) -> None:
         """Append new members; with ``tracked``, then rewrite the table if known members changed."""
         name = self.name(table)
-        staged = materialize(staging, table.lower()) if tracked else staging
-        append_table(insert_new(staged, self.table(table), alt_key, key, limits=self.limits), name)
+        append_table(insert_new(staging, self.table(table), alt_key, key, limits=self.limits), name)
         if not tracked:
             return
         options = {"inferred": inferred, "limits": self.limits}
-        if has_changes(self.table(table), staged, alt_key, key, tracked, **options):
-            rewrite_table(apply_history(self.table(table), staged, alt_key, key, tracked, run_ts, **options), name)
+        if has_changes(self.table(table), staging, alt_key, key, tracked, **options):
+            rewrite_table(apply_history(self.table(table), staging, alt_key, key, tracked, run_ts, **options), name)
 
     def load_dimensions(self, src: Mapping[str, DataFrame], run_ts: datetime) -> None:
         self._together(*self._dimension_loads(src, run_ts))
@@ -74,25 +105,28 @@ class Warehouse:
         """The loads of all dimensions without a modification window; they touch different tables."""
         lim = self.limits
 
+        def parts(name):
+            return [src[t] for t in STAGING_SOURCES[name]]
+
         def promotion():
-            staged = dimensions.promotion_dimension(src["SpecialOffer"])
+            staged = self.stage("promotion", lambda: dimensions.promotion_dimension(*parts("promotion")))
             self.merge("DimPromotion", staged, "PromotionAK", "PromotionKey")
 
         def product():
-            parts = [src[t] for t in ("Product", "ProductSubcategory", "ProductCategory", "ProductModel")]
-            self.merge("DimProduct", dimensions.product_dimension(*parts, lim), "ProductAK", "ProductKey")
+            staged = self.stage("product", lambda: dimensions.product_dimension(*parts("product"), lim))
+            self.merge("DimProduct", staged, "ProductAK", "ProductKey")
 
         def geography():
-            parts = [src[t] for t in ("Address", "StateProvince", "CountryRegion")]
-            self.merge("DimGeography", dimensions.geography_dimension(*parts, lim), "GeographyAK", "GeographyKey")
+            staged = self.stage("geography", lambda: dimensions.geography_dimension(*parts("geography"), lim))
+            self.merge("DimGeography", staged, "GeographyAK", "GeographyKey")
 
         def territory():
-            staged = dimensions.territory_dimension(src["SalesTerritory"], src["CountryRegion"], lim)
+            staged = self.stage("territory", lambda: dimensions.territory_dimension(*parts("territory"), lim))
             self.merge("DimSalesTerritory", staged, "SalesTerritoryAK", "SalesTerritoryKey")
 
         def employee():
-            parts = [src[t] for t in ("Employee", "Person", "EmailAddress")]
-            staged = dimensions.employee_dimension(*parts, run_ts, lim)
+            build = lambda: dimensions.employee_dimension(*parts("employee"), run_ts, lim)
+            staged = self.stage("employee", build, keep=True)
             self.merge("DimEmployee", staged, "EmployeeAK", "EmployeeKey", "EmailAddress", run_ts)
 
         return [promotion, product, geography, territory, employee]
@@ -110,9 +144,9 @@ class Warehouse:
         """Customers modified since the last good run; the watermark moves only after they are stored."""
         flow = self.name("DataFlow")
         low = control.read_watermark(self.table("DataFlow"), CUSTOMER_FLOW, run_ts).first()[control.LAST]
-        staged = dimensions.customer_dimension(
-            src["Customer"], src["Person"], src["EmailAddress"], low, run_ts, run_ts, strict, self.limits
-        )
+        parts = [src[t] for t in STAGING_SOURCES["customer"]]
+        build = lambda: dimensions.customer_dimension(*parts, low, run_ts, run_ts, strict, self.limits)
+        staged = self.stage("customer", build, keep=True)
         self.merge("DimCustomer", staged, "CustomerAK", "CustomerKey", "EmailAddress", run_ts, "Inferred")
         rewrite_table(control.upsert_watermark(self.table("DataFlow"), CUSTOMER_FLOW, run_ts), flow)
 
@@ -138,16 +172,23 @@ class Warehouse:
         Where whole orders are compared, known ones are left out before their
         lines are looked at, so a small addition costs no shuffle of all lines.
         """
-        header, detail, product = (src[t] for t in ("SalesOrderHeader", "SalesOrderDetail", "Product"))
         whole_orders = key in (ORDER, [ORDER], (ORDER,))
-        if whole_orders:
-            header = materialize(
-                sales.new_fact_rows(header, self.table("FactSales"), ORDER, self.limits), "new-orders"
+
+        def build():
+            header = src["SalesOrderHeader"]
+            if whole_orders:
+                header = materialize(
+                    sales.new_fact_rows(header, self.table("FactSales"), ORDER, self.limits), "new-orders"
+                )
+            return sales.stage_sales(
+                header, src["SalesOrderDetail"], src["Product"], line_order, whole_orders, self.limits
             )
-        staged = sales.stage_sales(header, detail, product, line_order, whole_orders, self.limits)
-        if not whole_orders:
-            staged = sales.new_fact_rows(staged, self.table("FactSales"), key, self.limits)
-        return materialize(staged, "new-facts")
+
+        staged = self.stage("sales", build)
+        if self.files is None and whole_orders:
+            return materialize(staged, "new-facts")
+        # A kept staging set may be older than the fact table.
+        return materialize(sales.new_fact_rows(staged, self.table("FactSales"), key, self.limits), "new-facts")
 
     def _append_facts(self, lines: DataFrame, run_ts: datetime, unknown_key: int | None = None) -> None:
         """Look up the keys of stored new lines; customers nobody has heard of are entered first."""
@@ -172,13 +213,17 @@ class Warehouse:
 
     def run(
         self,
-        src: Mapping[str, DataFrame],
+        src: Mapping[str, DataFrame] | None,
         run_ts: datetime,
         calendar: tuple[str | date, str | date] = CALENDAR,
         line_order: Sequence[str] = ("SalesOrderDetailID",),
         fact_key: str | Sequence[str] = ORDER,
     ) -> None:
-        """All dimensions, the calendar and the staging of order lines at once, then the facts."""
+        """All dimensions, the calendar and the staging of order lines at once, then the facts.
+
+        ``src`` names the source tables; None stands for those below the source folder.
+        """
+        src = self.sources() if src is None else src
         *_, lines = self._together(
             *self._dimension_loads(src, run_ts),
             lambda: self.load_customers(src, run_ts),
