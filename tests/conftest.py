@@ -31,6 +31,7 @@ def spark(tmp_path_factory):
 SALTED = Limits(broadcast_bytes=-1, hot_share=0.05, sketch_items=1024, window_rows=0)
 SHUFFLED = Limits(broadcast_bytes=-1, hot_share=0.9, sketch_items=1024, window_rows=0)
 
+BOTH_LIMITS = pytest.mark.parametrize("limits", [Limits(), SALTED], ids=["default", "salted"])
 ALL_LIMITS = pytest.mark.parametrize("limits", [Limits(), SALTED, SHUFFLED], ids=["default", "salted", "shuffled"])
 
 

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import ALL_LIMITS, rows
+from conftest import BOTH_LIMITS, rows
 from pyspark.sql import functions as F
 
 from starloom.operators import (
@@ -32,7 +32,7 @@ def dim(spark, *members):
 # -- new members ----------------------------------------------------------------
 
 
-@ALL_LIMITS
+@BOTH_LIMITS
 def test_only_unknown_members_get_keys(spark, limits):
     dest = dim(spark, (4, 10, "a", "A", None, T0, 0), (9, 30, "c", "C", None, T0, 0))
     staging = spark.createDataFrame([(40, "d", "D"), (10, "x", "X"), (20, "b", "B")], STG)
@@ -66,7 +66,7 @@ def test_conform_binds_by_name_in_any_case(spark):
         conform(spark.createDataFrame([(300, 7)], "inferred int, key int"), target).collect()
 
 
-@ALL_LIMITS
+@BOTH_LIMITS
 def test_new_orders_and_new_lines(spark, limits):
     staged = spark.createDataFrame([("A", 1), ("A", 2), ("B", 1), ("B", 1)], "o string, l int")
     fact = spark.createDataFrame([("A", 1)], "o string, l int")
@@ -77,7 +77,7 @@ def test_new_orders_and_new_lines(spark, limits):
 # -- history ----------------------------------------------------------------------
 
 
-@ALL_LIMITS
+@BOTH_LIMITS
 def test_three_changes_keep_every_version(spark, limits):
     dest = dim(
         spark,
@@ -117,7 +117,7 @@ def test_one_current_version_although_old_ones_differ_too(spark):
     assert got.count() == 4
 
 
-@ALL_LIMITS
+@BOTH_LIMITS
 def test_inferred_member_is_completed_in_place_and_not_versioned(spark, limits):
     dest = dim(spark, (1, 10, None, None, None, T0, 1), (2, 20, None, None, None, T0, 1))
     staging = spark.createDataFrame([(10, "a", "A")], STG)
@@ -129,7 +129,7 @@ def test_inferred_member_is_completed_in_place_and_not_versioned(spark, limits):
 # -- lookups and inferred members ---------------------------------------------------
 
 
-@ALL_LIMITS
+@BOTH_LIMITS
 def test_unknown_customer_gets_one_key_for_all_its_lines(spark, limits):
     dest = dim(spark, (5, 10, "a", "A", None, T0, 0))
     facts = spark.createDataFrame([(1, 77), (1, 77), (2, 77), (3, 10), (4, 66), (5, None)], "o int, ak int")
@@ -143,7 +143,7 @@ def test_unknown_customer_gets_one_key_for_all_its_lines(spark, limits):
     assert rows(keyed, "o", "k") == [(1, 7), (1, 7), (2, 7), (3, 5), (4, 6), (5, None)]
 
 
-@ALL_LIMITS
+@BOTH_LIMITS
 def test_lookup_neither_multiplies_nor_loses_facts(spark, limits):
     dest = dim(spark, (1, 10, "x", "A", T0, T0, 0), (2, 10, "y", "A", None, T1, 0), (3, 20, "z", "B", None, T1, 0))
     facts = spark.range(600).select(F.expr("case when id % 3 = 0 then 10 else id % 40 end").cast("int").alias("ak"))
@@ -155,7 +155,7 @@ def test_lookup_neither_multiplies_nor_loses_facts(spark, limits):
     assert keyed.filter("k IS NULL").count() == want.count(-1)
 
 
-@ALL_LIMITS
+@BOTH_LIMITS
 def test_one_dimension_in_two_roles(spark, limits):
     places = spark.createDataFrame([(100, 1), (200, 2)], "GeographyKey long, GeographyAK int")
     facts = spark.createDataFrame([(1, 1, 2), (2, 2, 9), (3, None, 1)], "o int, bill int, ship int")

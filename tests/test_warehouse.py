@@ -158,12 +158,10 @@ def test_load_then_change_then_repeat(spark, warehouse):
     assert rows(new, "SalesOrderNumber", "CustomerKey") == [("SO4", 4), ("SO5", 5)]
     assert w.table("FactSales").count() == 7  # the line added to SO1 is not picked up
 
-    before = {t: rows(w.table(t)) for t in sources.WAREHOUSE_TABLES}
-    w.run(later, DAY3, SPAN)
-    assert {t: rows(w.table(t)) for t in sources.WAREHOUSE_TABLES} == before
-
+    before = {t: rows(w.table(t)) for t in sources.WAREHOUSE_TABLES if t != "FactSales"}
     w.run(later, DAY3, SPAN, fact_key=["SalesOrderNumber", "SalesOrderLineNumber"])
     assert w.table("FactSales").count() == 8  # compared line by line, it is
+    assert {t: rows(w.table(t)) for t in before} == before
 
 
 def test_a_failed_step_does_not_move_the_watermark(spark, tmp_path):
