@@ -52,9 +52,9 @@ def are_small(dfs: Sequence[DataFrame], limits: Limits = DEFAULT) -> list[bool]:
     return [i in small for i in range(len(dfs))]
 
 
-def is_small(df: DataFrame, limits: Limits = DEFAULT) -> bool:
-    """May ``df`` be broadcast?  Rows are counted first, so the text of a big table is never read for this."""
-    if any(isinstance(f.dataType, _VARIABLE) for f in df.schema):
+def is_small(df: DataFrame, limits: Limits = DEFAULT, count_first: bool = False) -> bool:
+    """May ``df`` be broadcast?  ``count_first`` spares a table that may be huge the reading of its text."""
+    if count_first and any(isinstance(f.dataType, _VARIABLE) for f in df.schema):
         if df.count() * (_ROW_BYTES + _COLUMN_BYTES * len(df.columns)) > limits.broadcast_bytes:
             return False
     return are_small([df], limits)[0]
@@ -124,21 +124,22 @@ def skew_join(
 
     ``small`` skips the measurement of ``right`` (False for sides known to grow
     with the data); ``hot`` skips the search for hot keys of ``left``, and is
-    ``[]`` where ``left`` has one row per key.
+    ``{}`` where ``left`` has one row per key.
     """
     keys = as_list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     right = _same_types(left, right, keys)
-    if how in ("left_semi", "left_anti"):
+    only_keys = how in ("left_semi", "left_anti")
+    if only_keys:
         right = right.select(*keys)
     if how == "inner":
         left = left.dropna(subset=keys)
     if small is None:
-        small = is_small(right, limits)
+        small = is_small(right, limits, count_first=only_keys)  # a fact table, perhaps
     if small:
         return left.join(F.broadcast(right), keys, how)
-    if how in ("left_semi", "left_anti"):
+    if only_keys:
         right = right.distinct()  # combined before the shuffle: repeats on this side cost nothing
     if hot is None:
         hot = hot_keys(left, keys, limits)
