@@ -1,7 +1,7 @@
 from .control import read_watermark, seed_watermark, upsert_watermark
 from .history import apply_history, changed_members, has_changes, resolve_inferred
 from .lookup import Lookup, inferred_members, lookup_key, lookup_keys, missing_members
-from .members import conform, insert_new, one_per_key, rows_not_in
+from .members import conform, except_distinct, insert_new, one_per_key, rows_not_in
 from .numbering import assign_keys, max_key, number_in_groups, ordered_index
 from .profile import distinct_values, load_stats, preview
 from .skew import are_small, hot_keys, is_small, skew_join
@@ -14,6 +14,7 @@ __all__ = [
     "changed_members",
     "conform",
     "distinct_values",
+    "except_distinct",
     "has_changes",
     "hot_keys",
     "inferred_members",

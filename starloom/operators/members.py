@@ -61,6 +61,15 @@ def rows_not_in(
     return skew_join(staged, loaded, key, "left_anti", limits, hot, small)
 
 
+def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of ``left`` that ``right`` lacks; NULLs are equal here.
+
+    Both sides are made distinct before they meet: a row with very many copies
+    then costs one row per task, instead of one task that gets all of them.
+    """
+    return left.distinct().subtract(right.distinct())
+
+
 def insert_new(
     staging: DataFrame,
     dest: DataFrame,

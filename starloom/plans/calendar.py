@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.members import except_distinct
 from ..sinks.tables import append_table
 from ..sources.calendar import as_date, calendar_days
 
@@ -16,7 +17,7 @@ def _between(days: DataFrame, start, end, column: str) -> DataFrame:
 
 def missing_days(calendar: DataFrame, loaded: DataFrame) -> DataFrame:
     """Calendar rows not loaded yet."""
-    return calendar.subtract(loaded.select(*calendar.columns))
+    return except_distinct(calendar, loaded.select(*calendar.columns))
 
 
 def calendar_gap(days: DataFrame, start: str | date, end: str | date, column: str = "date_date") -> DataFrame:

@@ -255,7 +255,7 @@ def preview_limit(r: Retail) -> DataFrame:
 @query
 def except_distinct(r: Retail) -> DataFrame:
     flags = r.table("lineitem").select("l_returnflag", "l_linestatus")
-    return flags.subtract(flags.filter("l_returnflag = 'R'"))
+    return ops.except_distinct(flags, flags.filter("l_returnflag = 'R'"))
 
 
 @query

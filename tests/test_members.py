@@ -9,6 +9,7 @@ from starloom.operators import (
     apply_history,
     changed_members,
     conform,
+    except_distinct,
     has_changes,
     inferred_members,
     insert_new,
@@ -74,6 +75,14 @@ def test_new_orders_and_new_lines(spark, limits):
     assert rows(rows_not_in(staged, fact, ["o", "l"], limits), "o", "l") == [("A", 2), ("B", 1), ("B", 1)]
 
 
+def test_except_distinct(spark):
+    left = spark.createDataFrame([(1, None), (1, None), (2, "b"), (2, "b"), (3, "c")], "a int, b string")
+    right = spark.createDataFrame([(2, "b"), (9, "z"), (3, None)], "a int, b string")
+    assert rows(except_distinct(left, right)) == [(1, None), (3, "c")]
+    plan = except_distinct(left, right)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftAnti") < plan.rindex("Aggregate")  # copies are combined below the join
+
+
 # -- history ----------------------------------------------------------------------
 
 
