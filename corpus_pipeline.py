@@ -8,11 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact_dedup, mixing, ngram_join
-from starloom.llm.common import table
+from starloom.llm import exact_dedup, mixing, ngram_join, packing, toxicity
+from starloom.llm.common import table, vocabulary
 from starloom.scratch import materialize
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go; it learns from labelled documents outside of the held-out fold."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays, the one with the smallest id."""
     return exact_dedup.drop_copies(docs)
@@ -28,10 +33,17 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs, vocabulary(packing.VOCABULARY))
+
+
 STAGES = [
+    ("toxicity", clean),
     ("exact_dedup", exact),
     ("ngram_join", near),
     ("mixing", mixture),
+    ("packing", packed),
 ]
 
 # The first stage applies a learned model, which SQL cannot express.

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..scratch import materialize
-from . import exact_dedup, mixing, ngram_join
-from .common import table
+from . import exact_dedup, mixing, ngram_join, packing, toxicity
+from .common import table, vocabulary
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +30,19 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(packing.VOCABULARY))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
 }
