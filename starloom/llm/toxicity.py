@@ -30,8 +30,9 @@ from .words import ALPHANUMERIC, mix64, pieces, words
 SAMPLE = 12_000
 TERMS = 8192
 LEAST_DOCS = 5
+LEAST_ODDS = 4  # standard deviations between a term's toxic share and that of all
 FACTORS = 4
-EPOCHS = 15
+EPOCHS = 80
 FOLDS = 5
 THRESHOLD = 0.5
 _HASHES = 4
@@ -141,7 +142,7 @@ def fit(
     odd = np.abs(hits - expected) / np.sqrt(np.maximum(expected * (1 - share), 1e-9))
     odd[docs_ < LEAST_DOCS] = 0
     chosen = np.sort(np.argsort(-odd, kind="stable")[:most_terms])
-    chosen = chosen[odd[chosen] > 2]
+    chosen = chosen[odd[chosen] > LEAST_ODDS]
     place = np.full(len(terms), -1)
     place[chosen] = np.arange(len(chosen))
     inside = place[at] >= 0
@@ -154,6 +155,7 @@ def train(row, term, y, terms, factors: int, epochs: int, rate: float = 0.1, dec
     m = FactorizationMachine(terms, 0.0, np.zeros(len(terms)), rng.normal(0, 0.02, (len(terms), factors)))
     square_w, square_v, square_b = np.full(len(terms), 1e-6), np.full((len(terms), factors), 1e-6), 1e-6
     share = y.mean()
+    weight = min(10.0, np.sqrt((1 - share) / share))  # the rare kind counts more
     m.bias = float(np.log(share / (1 - share)))
     bounds = np.searchsorted(row, np.arange(len(y) + 1))
     for _ in range(epochs):
@@ -163,7 +165,7 @@ def train(row, term, y, terms, factors: int, epochs: int, rate: float = 0.1, dec
             sizes = bounds[some + 1] - bounds[some]
             r = np.repeat(np.arange(len(some)), sizes)
             t = term[np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in some])] if sizes.sum() else term[:0]
-            g = (sigmoid(m.margins(r, t, len(some))) - y[some]) / len(some)
+            g = (sigmoid(m.margins(r, t, len(some))) - y[some]) * np.where(y[some] > 0, weight, 1) / len(some)
             gw = np.bincount(t, g[r], len(terms)) + decay * m.weight
             square_w += gw * gw
             sums = [np.bincount(r, m.factor[t, f], len(some)) for f in range(factors)]
