@@ -126,16 +126,21 @@ def _ends(rows: DataFrame, goals: DataFrame, buckets: int) -> DataFrame:
     return found.select("_key", F.coalesce("at", below).alias("end"), F.coalesce("got", "before").alias("got"))
 
 
-def _log_factorial(x: Column) -> Column:
-    """Stirling's series, and exact values below 16."""
-    small = F.element_at(F.lit([math.lgamma(i + 1) for i in range(16)]), F.least(x, F.lit(15)).cast("int") + 1)
-    y = F.greatest(x, F.lit(16)).cast("double")
-    large = y * F.ln(y) - y + 0.5 * F.ln(2 * math.pi * y) + 1 / (12 * y) - 1 / (360 * y * y * y)
-    return F.when(x < 16, small).otherwise(large)
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value worked out once, however often ``then`` mentions it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
 
 
-def _log_choose(n: Column, k: Column) -> Column:
-    return _log_factorial(n) - _log_factorial(k) - _log_factorial(n - k)
+def _log_factorials(values: list[Column]) -> Column:
+    """An array of logarithms of factorials: Stirling's series, and exact values below 16."""
+    small = F.lit([math.lgamma(i + 1) for i in range(16)])
+
+    def one(x: Column) -> Column:
+        y = x.cast("double")
+        large = y * F.ln(y) - y + 0.5 * F.ln(2 * math.pi * y) + 1 / (12 * y) - 1 / (360 * y * y * y)
+        return F.when(x < 16, F.element_at(small, F.least(x, F.lit(15)).cast("int") + 1)).otherwise(large)
+
+    return F.transform(F.array(*values), one)
 
 
 def hypergeometric(u: Column, total: Column, good: Column, drawn: Column) -> Column:
@@ -143,23 +148,40 @@ def hypergeometric(u: Column, total: Column, good: Column, drawn: Column) -> Col
 
     The sum starts ten standard deviations below the mean, beyond which nothing counts in doubles.
     """
-    low, high = F.greatest(F.lit(0), drawn + good - total), F.least(drawn, good)
-    safe = F.greatest(total, F.lit(2)).cast("double")
-    mean = drawn * (good / safe)
-    sd = F.sqrt(F.greatest(mean * (1 - good / safe) * ((safe - drawn) / (safe - 1)), F.lit(0.0)))
-    first = F.greatest(low, F.floor(mean - 10 * sd - 10).cast("long"))
-    last = F.greatest(first, F.least(high, F.ceil(mean + 10 * sd + 10).cast("long")))
-    p = F.exp(_log_choose(good, first) + _log_choose(total - good, drawn - first) - _log_choose(total, drawn))
-
-    def step(acc: Column, k: Column) -> Column:
-        cum = acc["cum"] + acc["p"]
-        ratio = (good - k).cast("double") * (drawn - k) / ((k + 1).cast("double") * (total - good - drawn + k + 1))
-        hit = acc["at"].isNull() & (u < cum)
-        return F.struct((acc["p"] * ratio).alias("p"), cum.alias("cum"), F.when(hit, k).otherwise(acc["at"]).alias("at"))
-
-    start = F.struct(p.alias("p"), F.lit(0.0).alias("cum"), F.lit(None).cast("long").alias("at"))
-    found = F.aggregate(F.sequence(first, last), start, step)["at"]
-    return F.when(low >= high, low).otherwise(F.coalesce(found, last))
+    given = F.struct(u.alias("u"), total.alias("t"), good.alias("g"), drawn.alias("d"))
+
+    def ends(x: Column) -> Column:
+        safe = F.greatest(x["t"], F.lit(2)).cast("double")
+        mean = x["d"] * (x["g"] / safe)
+        sd = F.sqrt(F.greatest(mean * (1 - x["g"] / safe) * ((safe - x["d"]) / (safe - 1)), F.lit(0.0)))
+        low, high = F.greatest(F.lit(0), x["d"] + x["g"] - x["t"]), F.least(x["d"], x["g"])
+        span = _let(F.struct(mean.alias("mean"), (10 * sd + 10).alias("far"), low.alias("low"), high.alias("high")), bounds)
+        return F.struct(x.alias("x"), span.alias("s"))
+
+    def bounds(m: Column) -> Column:
+        first = F.greatest(m["low"], F.floor(m["mean"] - m["far"]).cast("long"))
+        last = F.greatest(m["low"], F.least(m["high"], F.ceil(m["mean"] + m["far"]).cast("long")))
+        return F.struct(m["low"].alias("low"), m["high"].alias("high"), first.alias("first"), F.greatest(first, last).alias("last"))
+
+    def invert(y: Column) -> Column:
+        x, s = y["x"], y["s"]
+        t, g, d, k0 = x["t"], x["g"], x["d"], s["first"]
+        parts = [g, k0, g - k0, t - g, d - k0, t - g - d + k0, t, d, t - d]
+        logs = _log_factorials(parts)
+        signs = F.lit([1.0, -1.0, -1.0, 1.0, -1.0, -1.0, -1.0, 1.0, 1.0])
+        log_p = F.aggregate(F.zip_with(logs, signs, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+
+        def step(acc: Column, k: Column) -> Column:
+            cum = acc["cum"] + acc["p"]
+            ratio = (g - k).cast("double") * (d - k) / ((k + 1).cast("double") * (t - g - d + k + 1))
+            hit = acc["at"].isNull() & (x["u"] < cum)
+            return F.struct((acc["p"] * ratio).alias("p"), cum.alias("cum"), F.when(hit, k).otherwise(acc["at"]).alias("at"))
+
+        start = F.struct(F.exp(log_p).alias("p"), F.lit(0.0).alias("cum"), F.lit(None).cast("long").alias("at"))
+        found = F.aggregate(F.sequence(k0, s["last"]), start, step)["at"]
+        return F.when(s["low"] >= s["high"], s["low"]).otherwise(F.coalesce(found, s["last"]))
+
+    return _let(_let(given, ends), invert)
 
 
 def _draw(quotas: Column, room: Column, name: Column) -> Column:
@@ -169,10 +191,12 @@ def _draw(quotas: Column, room: Column, name: Column) -> Column:
     def step(acc: Column, i: Column) -> Column:
         q = F.element_at(quotas, i)
         u = F.shiftrightunsigned(F.xxhash64(name, i), 11) / float(1 << 53)
-        x = hypergeometric(u, acc["total"], q, acc["room"])
-        return F.struct(
-            (acc["total"] - q).alias("total"), (acc["room"] - x).alias("room"), F.concat(acc["out"], F.array(x)).alias("out")
-        )
+
+        def after(x: Column) -> Column:
+            out = F.concat(acc["out"], F.array(x))
+            return F.struct((acc["total"] - q).alias("total"), (acc["room"] - x).alias("room"), out.alias("out"))
+
+        return _let(hypergeometric(u, acc["total"], q, acc["room"]), after)
 
     start = F.struct(whole.alias("total"), room.alias("room"), F.array().cast("array<long>").alias("out"))
     return F.aggregate(F.sequence(F.lit(1), F.size(quotas)), start, step)["out"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..scratch import materialize
-from . import exact_dedup, mixing, ngram_join, packing, toxicity
+from . import exact_dedup, langid, mixing, ngram_join, packing, quality, toxicity
 from .common import table, vocabulary
 
 
@@ -39,10 +39,21 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
+    "op8_langid": op8_langid,
+    "op10_quality": op10_quality,
 }

@@ -61,8 +61,8 @@ class Piece(NamedTuple):
     bounds: np.ndarray  # last - first + 1 offsets into data
 
 
-def pieces(texts: pa.Array, most: int = PIECE_BYTES) -> Iterator[Piece]:
-    """Cut a string column into pieces of at most ``most`` bytes, longer texts alone.  NULL is empty."""
+def pieces(texts: pa.Array, most: int = PIECE_BYTES, most_rows: int = 1 << 20) -> Iterator[Piece]:
+    """Cut a string column into pieces of at most ``most`` bytes and ``most_rows`` texts, longer texts alone.  NULL is empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if not len(texts):
         return
@@ -72,7 +72,7 @@ def pieces(texts: pa.Array, most: int = PIECE_BYTES) -> Iterator[Piece]:
     first = 0
     while first < len(texts):
         last = int(np.searchsorted(bounds, bounds[first] + most, side="right")) - 1
-        last = min(len(texts), max(last, first + 1))
+        last = min(len(texts), first + most_rows, max(last, first + 1))
         yield Piece(first, last, data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first])
         first = last
 
