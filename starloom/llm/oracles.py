@@ -78,8 +78,20 @@ select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (part
 from d
 """
 
+OP4 = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, '')))::bigint as n, sha1(coalesce(html, '')) as d from pages
+), m as (
+  select *, case when n >= 1000 then max(page_id) over (partition by d, n) else page_id end as top from p
+)
+select page_id, n as payload_bytes, d as payload_digest, case when page_id = top then 'response' else 'revisit' end as record_type,
+       case when page_id <> top then top end as refers_to
+from m
+"""
+
 ORACLES = {
     "op1_ngram_join": OP1,
     "op2_mixing": OP2,
+    "op4_warc": OP4,
     "op5_exact_dedup": OP5,
 }

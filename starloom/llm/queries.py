@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..scratch import materialize
-from . import exact_dedup, langid, mixing, ngram_join, packing, quality, toxicity
+from . import ann, exact_dedup, langid, mixing, ngram_join, packing, quality, toxicity, warc
 from .common import table, vocabulary
 
 
@@ -26,6 +26,16 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), every=20)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -51,6 +61,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
+    "op3_ann": op3_ann,
+    "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
