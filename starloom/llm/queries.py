@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..scratch import materialize
-from . import ann, exact_dedup, langid, mixing, ngram_join, packing, quality, toxicity, warc
+from . import ann, exact_dedup, html_extract, langid, mixing, ngram_join, packing, quality, toxicity, warc
 from .common import table, vocabulary
 
 
@@ -54,6 +54,10 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -67,5 +71,6 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_langid": op8_langid,
+    "op9_html": op9_html,
     "op10_quality": op10_quality,
 }
