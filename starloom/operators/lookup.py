@@ -24,12 +24,13 @@ class Lookup:
     dim_alt_key: str | None = None  # default: fact_key
 
     def pairs(self, expiry: str) -> DataFrame:
-        """Alternative key and surrogate of current versions, named as the fact needs them."""
+        """Alternative key and surrogate of current versions, named as the fact needs them.
+
+        A member with several current rows counts with the newest surrogate, so it cannot multiply facts.
+        """
         dim = self.dim.filter(F.col(expiry).isNull()) if expiry in self.dim.columns else self.dim
-        return dim.select(
-            F.col(self.dim_alt_key or self.fact_key).alias(self.fact_key),
-            F.col(self.dim_key or self.role_key).alias(self.role_key),
-        )
+        key = F.col(self.dim_alt_key or self.fact_key).alias(self.fact_key)
+        return dim.groupBy(key).agg(F.max(self.dim_key or self.role_key).alias(self.role_key))
 
 
 def lookup_keys(

@@ -64,10 +64,13 @@ def rows_not_in(
 def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct rows of ``left`` that ``right`` lacks; NULLs are equal here.
 
-    Both sides are made distinct before they meet: a row with very many copies
-    then costs one row per task, instead of one task that gets all of them.
+    Both sides meet in one aggregate, combined before its shuffle: a row with very
+    many copies costs one row per task, and there is no join.
     """
-    return left.distinct().subtract(right.distinct())
+    names = left.columns
+    both = left.withColumn("_right", F.lit(0)).unionAll(right.withColumn("_right", F.lit(1)))
+    found = both.groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.max("_right").alias("_right"))
+    return found.filter("_right = 0").drop("_right")
 
 
 def insert_new(

@@ -11,13 +11,21 @@ from .skew import as_list, skew_join
 
 
 def load_stats(staging: DataFrame, dest: DataFrame, alt_key: str, limits: Limits = DEFAULT) -> DataFrame:
-    """Staged, new and already present rows, in one pass over staging."""
+    """Staged, new and already present rows, in one pass over staging.
+
+    Rows are counted per key first, so a key counts as one row in the join however often it is staged.
+    """
     known = dest.select(alt_key).distinct().withColumn("_known", F.lit(1))
-    joined = skew_join(staging.select(alt_key), known, alt_key, "left", limits)
+    staged = staging.groupBy(alt_key).agg(F.count(F.lit(1)).alias("_rows"))
+    joined = skew_join(staged, known, alt_key, "left", limits, hot={})
+
+    def total(rows):
+        return F.coalesce(F.sum(rows), F.lit(0)).cast("long")
+
     return joined.agg(
-        F.count(F.lit(1)).alias("staged"),
-        F.count(F.when(F.col("_known").isNull(), 1)).alias("new_rows"),
-        F.count("_known").alias("existing_rows"),
+        total(F.col("_rows")).alias("staged"),
+        total(F.when(F.col("_known").isNull(), F.col("_rows"))).alias("new_rows"),
+        total(F.when(F.col("_known").isNotNull(), F.col("_rows"))).alias("existing_rows"),
     )
 
 

@@ -13,7 +13,7 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..limits import DEFAULT, Limits
 
@@ -101,14 +101,40 @@ def _with_salts(df: DataFrame, keys: list[str], hot: HotKeys) -> DataFrame:
     return df.withColumn("_hash", key_hash(keys)).join(F.broadcast(table), "_hash", "left").drop("_hash")
 
 
-def _same_types(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Give the right keys the left types; a value that does not fit cannot match and becomes NULL."""
-    fixes = {
-        k: F.col(k).try_cast(left.schema[k].dataType)
-        for k in keys
-        if left.schema[k].dataType != right.schema[k].dataType
-    }
-    return right.withColumns(fixes) if fixes else right
+def _common_type(spark: SparkSession, a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which Spark compares values of two types."""
+    if isinstance(b, T.StringType):
+        a, b = b, a
+    if isinstance(a, T.StringType):
+        if isinstance(b, T.IntegralType):
+            return T.LongType()
+        return T.DoubleType() if isinstance(b, T.NumericType) else b
+    null = F.lit(None)
+    return spark.range(0).select(F.coalesce(null.cast(a), null.cast(b)).alias("x")).schema["x"].dataType
+
+
+def _join_mixed(left: DataFrame, right: DataFrame, keys: list[str], mixed: list[str], how: str, **options) -> DataFrame:
+    """Join on copies of the keys in their common types; the keys of the left side come out unchanged.
+
+    A value without a counterpart in the common type cannot match.
+    """
+    copies = {k: f"_key{i}" for i, k in enumerate(mixed)}
+    kinds = {k: _common_type(left.sparkSession, left.schema[k].dataType, right.schema[k].dataType) for k in mixed}
+
+    def copied(df: DataFrame) -> DataFrame:
+        return df.withColumns({copies[k]: F.col(f"`{k}`").try_cast(kinds[k]) for k in mixed})
+
+    order = [*keys, *[c for c in left.columns if c not in keys]]
+    if how in ("inner", "left"):
+        order += [c for c in right.columns if c not in keys]
+    on = [copies.get(k, k) for k in keys]
+    joined = skew_join(copied(left), copied(right).drop(*mixed), on, how, **options)
+    return joined.select(*[F.col(f"`{c}`") for c in order])
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    """All columns in a form that has a hash: maps do not, as their order means nothing."""
+    return [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema]
 
 
 def skew_join(
@@ -129,12 +155,16 @@ def skew_join(
     keys = as_list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    right = _same_types(left, right, keys)
+    mixed = [k for k in keys if left.schema[k].dataType != right.schema[k].dataType]
+    if mixed:
+        hot = hot if hot == {} else None  # hot keys were hashed in another type
+        return _join_mixed(left, right, keys, mixed, how, limits=limits, hot=hot, small=small)
     only_keys = how in ("left_semi", "left_anti")
     if only_keys:
         right = right.select(*keys)
     if how == "inner":
-        left = left.dropna(subset=keys)
+        for k in keys:  # not dropna(), which takes NaN for missing
+            left = left.filter(F.col(f"`{k}`").isNotNull())
     if small is None:
         small = is_small(right, limits, count_first=only_keys)  # a fact table, perhaps
     if small:
@@ -146,9 +176,11 @@ def skew_join(
     # A size that was measured, or is known to grow, is not left to an estimate: hence the hint.
     if not hot:
         return left.join(right.hint("merge"), keys, how)
-    # The salt depends on the row alone, so a task that runs again deals it the same way.
-    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.col("_salts")).cast("int")
-    dealt = _with_salts(left, keys, hot).withColumn("_salt", F.coalesce(deal, F.lit(0))).drop("_salts")
+    # Rows are dealt by their place in the order of their hashes.  Only equal rows can change places when a
+    # task runs again, so the same rows are dealt the same way, and copies of one row go to different tasks.
+    placed = _with_salts(left, keys, hot).withColumn("_row", F.xxhash64(*_hashable(left))).sortWithinPartitions("_row")
+    deal = F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.col("_salts")).cast("int")
+    dealt = placed.withColumn("_salt", F.coalesce(deal, F.lit(0))).drop("_salts", "_row")
     every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
     repeated = _with_salts(right, keys, hot).withColumn("_salt", every).drop("_salts")
     return dealt.join(repeated.hint("merge"), [*keys, "_salt"], how).drop("_salt")

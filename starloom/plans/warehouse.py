@@ -15,9 +15,10 @@ from ..operators import control
 from ..operators.history import apply_history, has_changes
 from ..operators.lookup import inferred_members
 from ..operators.members import insert_new
+from ..operators.skew import as_list
 from ..scratch import materialize
 from ..sinks.tables import append_table, create_tables, rewrite_table, write_staging
-from ..sources.freshness import needs_rebuild
+from ..sources.freshness import is_built_from, manifest, manifest_path
 from ..sources.scans import scan_parquet, scan_source
 from ..sources.schemas import SOURCE_TABLES, STAGING_SOURCES
 from . import dimensions, sales
@@ -49,7 +50,8 @@ class Warehouse:
     tables, so a run that stopped half-way is simply run again.
 
     With ``files``, staging sets are kept, and one is rebuilt only if it is
-    missing or a source file is newer; either way it is then merged.
+    missing, its source files are not those it was built from, or it was built for
+    another window or key; either way it is then merged.
     """
 
     def __init__(self, spark: SparkSession, database: str, limits: Limits = DEFAULT, files: Files | None = None):
@@ -59,14 +61,22 @@ class Warehouse:
         """The declared source tables as scans of the source folder."""
         return {t: scan_source(self.spark, self.files.source, t, self.files.suffix) for t in SOURCE_TABLES}
 
-    def stage(self, name: str, build: Callable[[], DataFrame], keep: bool = False) -> DataFrame:
-        """The staging set ``name``; without files it is stored only if asked to ``keep`` it for several uses."""
+    def stage(self, name: str, build: Callable[[], DataFrame], keep: bool = False, tag: str = "") -> DataFrame:
+        """The staging set ``name``; without files it is stored only if asked to ``keep`` it for several uses.
+
+        With files, a kept set serves again if it was built from the very same files and with the same ``tag``.
+        Its manifest is taken before the sources are read and written after the set, so a file that
+        changes in between, or a build that stops, leads to another build.
+        """
         if self.files is None:
             return materialize(build(), name) if keep else build()
         path = f"{self.files.staging.rstrip('/')}/{name}"
-        if needs_rebuild(self.spark, path, self.files.paths(STAGING_SOURCES[name])):
-            return write_staging(build(), path)
-        return scan_parquet(self.spark, path)
+        now = materialize(manifest(self.spark, self.files.paths(STAGING_SOURCES[name]), tag), "manifest")
+        if is_built_from(self.spark, path, now):
+            return scan_parquet(self.spark, path)
+        staged = write_staging(build(), path)
+        now.write.mode("overwrite").parquet(manifest_path(path))
+        return staged
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
@@ -146,7 +156,8 @@ class Warehouse:
         low = control.read_watermark(self.table("DataFlow"), CUSTOMER_FLOW, run_ts).first()[control.LAST]
         parts = [src[t] for t in STAGING_SOURCES["customer"]]
         build = lambda: dimensions.customer_dimension(*parts, low, run_ts, run_ts, strict, self.limits)
-        staged = self.stage("customer", build, keep=True)
+        # The set holds the rows of one window only, so it serves no other: else rows would be lost for good.
+        staged = self.stage("customer", build, keep=True, tag=f"{low}|{run_ts}|{strict}")
         self.merge("DimCustomer", staged, "CustomerAK", "CustomerKey", "EmailAddress", run_ts, "Inferred")
         rewrite_table(control.upsert_watermark(self.table("DataFlow"), CUSTOMER_FLOW, run_ts), flow)
 
@@ -184,7 +195,7 @@ class Warehouse:
                 header, src["SalesOrderDetail"], src["Product"], line_order, whole_orders, self.limits
             )
 
-        staged = self.stage("sales", build)
+        staged = self.stage("sales", build, tag=f"{as_list(key)}|{list(line_order)}")
         if self.files is None and whole_orders:
             return materialize(staged, "new-facts")
         # A kept staging set may be older than the fact table.
@@ -218,6 +229,8 @@ class Warehouse:
         calendar: tuple[str | date, str | date] = CALENDAR,
         line_order: Sequence[str] = ("SalesOrderDetailID",),
         fact_key: str | Sequence[str] = ORDER,
+        unknown_key: int | None = None,
+        strict: bool = False,
     ) -> None:
         """All dimensions, the calendar and the staging of order lines at once, then the facts.
 
@@ -226,11 +239,11 @@ class Warehouse:
         src = self.sources() if src is None else src
         *_, lines = self._together(
             *self._dimension_loads(src, run_ts),
-            lambda: self.load_customers(src, run_ts),
+            lambda: self.load_customers(src, run_ts, strict),
             lambda: load_calendar(self.name("DimDate"), *calendar, self.spark),
             lambda: self.new_lines(src, line_order, fact_key),
         )
-        self._append_facts(lines, run_ts)
+        self._append_facts(lines, run_ts, unknown_key)
 
     def row_counts(self, *tables: str) -> DataFrame:
         """Rows per table: one small frame to look at after a run."""

@@ -64,7 +64,7 @@ def sink_append(r: Retail) -> DataFrame:
     rows = r.table("customer").select(
         F.col("c_mktsegment").alias("SEGMENT"), F.col("c_name").alias("Name"), F.col("c_custkey").alias("ak"), "c_acctbal"
     )
-    for part in (F.col("c_acctbal") < 0, F.col("c_acctbal") >= 0):
+    for part in (F.col("c_acctbal") < 0, F.coalesce(F.col("c_acctbal") >= 0, F.lit(True))):
         sinks.append_table(rows.filter(part), f"{database}.accounts")
     return r.spark.table(f"{database}.accounts")
 

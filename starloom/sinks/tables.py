@@ -39,6 +39,13 @@ def append_table(df: DataFrame, table: str) -> None:
     conform(df, df.sparkSession.table(table)).write.mode("append").format("parquet").saveAsTable(table)
 
 
+def _location(spark, table: str) -> str:
+    """The folder of a table, from the part of its description that comes after the columns."""
+    told = [(r["col_name"], r["data_type"]) for r in describe_table(spark, table).collect()]
+    details = told[[name for name, _ in told].index("# Detailed Table Information") :]
+    return dict(details)["Location"].rstrip("/")
+
+
 def rewrite_table(df: DataFrame, table: str) -> None:
     """Replace the rows of a table that ``df`` may itself read.
 
@@ -49,7 +56,7 @@ def rewrite_table(df: DataFrame, table: str) -> None:
     """
     spark = df.sparkSession
     current = spark.table(table)
-    place = describe_table(spark, table).filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+    place = _location(spark, table)
     parent, name = place.rsplit("/", 1)
     target = f"{parent}/{name.split('__v_')[0]}__v_{uuid.uuid4().hex}"
     conform(df, current).write.parquet(target)

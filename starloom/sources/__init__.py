@@ -1,5 +1,5 @@
 from .calendar import calendar_days
-from .freshness import changed_sources, file_times, needs_rebuild
+from .freshness import changed_sources, file_times, is_built_from, manifest, manifest_path, needs_rebuild
 from .scans import scan_delimited, scan_optional, scan_parquet, scan_source, scan_tables
 from .schemas import FLOAT_WRITTEN_IDS, SOURCE_TABLES, STAGING_SOURCES, WAREHOUSE_TABLES, schema_of
 
@@ -11,6 +11,9 @@ __all__ = [
     "calendar_days",
     "changed_sources",
     "file_times",
+    "is_built_from",
+    "manifest",
+    "manifest_path",
     "needs_rebuild",
     "scan_delimited",
     "scan_optional",

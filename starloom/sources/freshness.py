@@ -48,5 +48,35 @@ def changed_sources(spark: SparkSession, staging: Mapping[str, tuple[str, Sequen
     )
 
 
+def manifest(spark: SparkSession, source_paths: Sequence[str], tag: str = "") -> DataFrame:
+    """What a staging set is built from: path, time and length of every source file, and ``tag`` for
+    whatever else decides its rows.  To be taken before the sources are read."""
+    rows = spark.createDataFrame([(tag, None, None)], "path string, modificationTime timestamp, length long")
+    for path in source_paths:
+        try:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        rows = rows.unionByName(files.select("path", "modificationTime", "length"))
+    return rows
+
+
+def is_built_from(spark: SparkSession, staged_path: str, now: DataFrame) -> bool:
+    """Was the set at ``staged_path`` built from exactly these files?  Any change, removal or addition counts."""
+    try:
+        kept = spark.read.schema(now.schema).parquet(manifest_path(staged_path))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return now.exceptAll(kept).isEmpty() and kept.exceptAll(now).isEmpty()
+
+
+def manifest_path(staged_path: str) -> str:
+    return staged_path.rstrip("/") + "__built_from"
+
+
 def needs_rebuild(spark: SparkSession, staged_path: str, source_paths: Sequence[str]) -> bool:
     return changed_sources(spark, {"staging": (staged_path, source_paths)}).first()["rebuild"]

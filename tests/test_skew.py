@@ -82,3 +82,45 @@ def test_a_large_side_is_never_broadcast(facts, dims):
 def test_unknown_join_type(facts, dims):
     with pytest.raises(ValueError):
         skew_join(facts, dims, "k", "outer")
+
+
+MIXED = [
+    ("int", ["776", "777", None], "double", ["776.0", "776.5", "777.0"]),
+    ("date", ["2024-01-01", "2024-01-02"], "timestamp", ["2024-01-01 05:00:00", "2024-01-02 00:00:00"]),
+    ("string", ["0776", "x", "777"], "int", ["776", "777"]),
+    ("double", ["NaN", "1.0", None], "double", ["NaN", "1.0", None]),
+]
+
+
+@ALL_LIMITS
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("case", range(len(MIXED)))
+def test_keys_of_different_types_match_as_in_a_plain_join(spark, limits, how, case):
+    kind_a, a, kind_b, b = MIXED[case]
+    left = spark.createDataFrame([(x, i) for i, x in enumerate(a * 3)], "k string, l int").withColumn("k", F.col("k").try_cast(kind_a))
+    right = spark.createDataFrame([(x, i) for i, x in enumerate(b)], "k string, r int").withColumn("k", F.col("k").try_cast(kind_b))
+    plain = right.withColumnRenamed("k", "rk")
+    key = F.col("k").try_cast("long") if kind_a == "string" else F.col("k")
+    want = left.join(plain, key == F.col("rk"), how).drop("rk")
+    got = skew_join(left, right, "k", how, limits)
+    assert got.columns == want.columns
+    assert Counter(map(str, got.collect())) == Counter(map(str, want.collect()))
+
+
+@ALL_LIMITS
+def test_map_columns_and_copies(spark, limits):
+    left = spark.range(2000).select(F.lit(1).alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    right = spark.createDataFrame([(1, "x")], "k int, r string")
+    assert skew_join(left, right, "k", "inner", limits).count() == 2000
+
+
+def test_copies_of_one_row_reach_several_tasks(spark):
+    left = spark.range(0, 100_000, 1, 4).select(F.lit(1).alias("k"))
+    right = spark.createDataFrame([(1, "x"), (2, "y")], "k int, r string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = skew_join(left, right, "k", "inner", SALTED)
+        tasks = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(tasks) > 1 and sum(t["count"] for t in tasks) == 100_000
