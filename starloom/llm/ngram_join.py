@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.skew import skew_join
 from ..scratch import materialize
 from .common import drop_ids, map_arrow
 from .components import components
@@ -358,9 +359,10 @@ def exact_links(classes: DataFrame, candidates: DataFrame, docs: DataFrame, grou
     wanted = group.join(classes.select("cid", "doc"), "cid").select("cid", "doc")
     texts = docs.join(wanted, "doc").dropDuplicates(["cid"]).select("cid", "text")
     arrays = map_arrow(texts, _arrays, "cid long, shingles binary")
-    size = group.groupBy("group").agg(F.count(F.lit(1)).alias("rows"))
-    blocks = F.ceil(F.col("rows") / group_rows).cast("int")
-    placed = group.join(size.hint("merge"), "group").withColumn("blocks", blocks)
+    # Only groups of more than one block need a number; a large one is dealt to several tasks by the join.
+    size = group.groupBy("group").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > group_rows)
+    blocks = F.coalesce(F.ceil(F.col("rows") / group_rows).cast("int"), F.lit(1))
+    placed = skew_join(group, materialize(size, "large_groups"), "group", "left").withColumn("blocks", blocks)
     placed = placed.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     rows = materialize(arrays.join(placed, "cid").select("group", "block", "blocks", "cid", "shingles"), "arrays")
     none = F.lit(None).cast("long")
@@ -379,10 +381,10 @@ def exact_links(classes: DataFrame, candidates: DataFrame, docs: DataFrame, grou
     label = components(inside).select(F.col("node").alias("cid"), F.col("component").alias("label"))
     marked = split.join(label, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     top = marked.filter("cid = group").select("group", F.col("label").alias("top"))
-    marked = materialize(marked.join(top.hint("merge"), "group").withColumn("guest", F.col("label") != F.col("top")), "marked")
+    marked = materialize(skew_join(marked, materialize(top, "tops"), "group", "inner").withColumn("guest", F.col("label") != F.col("top")), "marked")
     # Guests are dealt in chunks, so that a block never holds more than its own rows and one chunk.
     chunked = marked.filter("guest").groupBy("group").agg(F.ceil(F.count(F.lit(1)) / group_rows).cast("int").alias("chunks"))
-    marked = marked.join(chunked.hint("merge"), "group")
+    marked = skew_join(marked, materialize(chunked, "chunks"), "group", "inner")
     chunk = F.pmod(F.xxhash64("cid", F.lit(1)), F.col("chunks")).cast("int")
     every_chunk = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     every_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -419,7 +421,9 @@ def near_duplicates(
     named = classes.select("cid", "least").join(tied, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     named = materialize(named, "named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_class = materialize(named.join(least.hint("merge"), "component").select("cid", "component_id"), "class_components")
+    # Materialised, so that both sides of the join come straight from a shuffle, which can be split.
+    least = materialize(least, "least").hint("merge")
+    of_class = materialize(named.join(least, "component").select("cid", "component_id"), "class_components")
     known = rows.filter("n > 0").select("doc_id", "n", F.xxhash64("h1", "h2", "n").alias("cid"))
     linked = known.join(of_class, "cid").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
