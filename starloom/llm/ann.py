@@ -303,6 +303,8 @@ def nearest(vectors: DataFrame, every: int, id_col: str = "vec_id", vector_col:
     """Neighbours of the vectors whose id is divisible by ``every``: query_id, rank, vec_id, score."""
     rows = materialize(usable(vectors, id_col, vector_col), "vectors")
     found = materialize(entries(rows, top), "entries")
+    if found.isEmpty():
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index, placed = build(found, **options)
     placed = materialize(placed, "placed")
     queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
