@@ -1,4 +1,4 @@
-from .control import read_watermark, seed_watermark, upsert_watermark
+from .control import read_watermark, seed_watermark, upsert_watermark, with_zone
 from .history import apply_history, changed_members, has_changes, resolve_inferred
 from .lookup import Lookup, inferred_members, lookup_key, lookup_keys, missing_members
 from .members import conform, except_distinct, insert_new, one_per_key, rows_not_in
@@ -35,4 +35,5 @@ __all__ = [
     "seed_watermark",
     "skew_join",
     "upsert_watermark",
+    "with_zone",
 ]

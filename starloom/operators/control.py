@@ -31,6 +31,11 @@ def read_watermark(control: DataFrame, flow: str, now: datetime) -> DataFrame:
     )
 
 
+def with_zone(window: DataFrame, column: str = "CurrentTimezone") -> DataFrame:
+    """Add the session time zone, in which the bounds of a window are to be read."""
+    return window.withColumn(column, F.current_timezone())
+
+
 def upsert_watermark(control: DataFrame, flow: str, last: datetime) -> DataFrame:
     """The control table with the row of one flow replaced or added."""
     if last is None:

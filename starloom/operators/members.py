@@ -80,11 +80,13 @@ def insert_new(
     key: str,
     latest: str | Sequence[str] = (),
     limits: Limits = DEFAULT,
+    reject: bool = False,
 ) -> DataFrame:
     """Rows to append to ``dest``: unknown members, each once, with new keys.
 
     A staged row without an alternative key names no member and is left out.
+    Of repeated members the one with the greatest ``latest`` columns counts, or ``reject`` raises.
     """
     # Known members go first: usually most rows, and then only new ones are compared with each other.
     new = rows_not_in(staging.filter(F.col(alt_key).isNotNull()), dest, alt_key, limits)
-    return conform(assign_keys(one_per_key(new, alt_key, latest), alt_key, key, after=dest), dest)
+    return conform(assign_keys(one_per_key(new, alt_key, latest, reject), alt_key, key, after=dest), dest)

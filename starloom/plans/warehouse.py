@@ -14,7 +14,7 @@ from ..limits import DEFAULT, Limits
 from ..operators import control
 from ..operators.history import apply_history, has_changes
 from ..operators.lookup import inferred_members
-from ..operators.members import insert_new
+from ..operators.members import insert_new, one_per_key
 from ..operators.skew import as_list
 from ..scratch import materialize
 from ..sinks.tables import append_table, create_tables, rewrite_table, write_staging
@@ -38,6 +38,7 @@ class Files:
     source: str
     staging: str
     suffix: str = ".csv"
+    optional: Sequence[str] = ()  # tables whose file may be absent
 
     def paths(self, tables: Sequence[str]) -> list[str]:
         return [f"{self.source.rstrip('/')}/{t}{self.suffix}" for t in tables]
@@ -54,12 +55,26 @@ class Warehouse:
     another window or key; either way it is then merged.
     """
 
-    def __init__(self, spark: SparkSession, database: str, limits: Limits = DEFAULT, files: Files | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        database: str,
+        limits: Limits = DEFAULT,
+        files: Files | None = None,
+        latest: Mapping[str, Sequence[str]] | None = None,
+        reject: bool = False,
+    ):
+        """``latest`` names, per dimension table, the staged columns that decide between rows of one
+        member; with ``reject`` a member that is staged twice raises instead."""
         self.spark, self.database, self.limits, self.files = spark, database, limits, files
+        self.latest, self.reject = latest or {}, reject
 
     def sources(self) -> dict[str, DataFrame]:
-        """The declared source tables as scans of the source folder."""
-        return {t: scan_source(self.spark, self.files.source, t, self.files.suffix) for t in SOURCE_TABLES}
+        """The declared source tables as scans of the source folder; absent optional ones are empty."""
+        files = self.files
+        return {
+            t: scan_source(self.spark, files.source, t, files.suffix, optional=t in files.optional) for t in SOURCE_TABLES
+        }
 
     def stage(self, name: str, build: Callable[[], DataFrame], keep: bool = False, tag: str = "") -> DataFrame:
         """The staging set ``name``; without files it is stored only if asked to ``keep`` it for several uses.
@@ -100,11 +115,13 @@ class Warehouse:
         inferred: str | None = None,
     ) -> None:
         """Append new members; with ``tracked``, then rewrite the table if known members changed."""
-        name = self.name(table)
-        append_table(insert_new(staging, self.table(table), alt_key, key, limits=self.limits), name)
+        name, latest = self.name(table), self.latest.get(table, ())
+        if self.reject:
+            one_per_key(staging.filter(F.col(alt_key).isNotNull()), alt_key, reject=True)
+        append_table(insert_new(staging, self.table(table), alt_key, key, latest, self.limits), name)
         if not tracked:
             return
-        options = {"inferred": inferred, "limits": self.limits}
+        options = {"inferred": inferred, "latest": latest, "limits": self.limits}
         if has_changes(self.table(table), staging, alt_key, key, tracked, **options):
             rewrite_table(apply_history(self.table(table), staging, alt_key, key, tracked, run_ts, **options), name)
 

@@ -213,6 +213,11 @@ ORACLES: dict[str, str] = {
     "sink_roundtrip": "select * from orders",
     "sink_append": "select c_custkey ak, c_name name, c_mktsegment segment from customer",
     "sink_rewrite": "select c_custkey ak, lower(c_mktsegment) segment from customer",
+    "describe_table": """
+select column_name col_name, case column_type when 'INTEGER' then 'int' when 'VARCHAR' then 'string' else lower(column_type) end data_type
+from (describe nation) union all select 'Provider', 'parquet'""",
+    "changed_sources": """
+select 'customer' staging, false rebuild, count(*) n_rows from customer union all select 'orders', true, count(*) from orders""",
     "dim_geography": """
 select c_custkey "GeographyAK", c_name "AddressLine1", concat('Unit ', cast(c_custkey as varchar)) "AddressLine2",
        c_mktsegment "City", cast(n_nationkey as varchar) "StateProvinceCode", n_name "StateProvinceName",
@@ -297,6 +302,11 @@ where loaded.l_orderkey is null""",
     "lookup_key": f"""
 with {_KNOWN_PRODUCTS}
 select l_orderkey, l_linenumber, l_suppkey, k "ProductKey" from lineitem left join products on l_partkey = ak""",
+    "lookup_mixed_type_keys": f"""
+with {_KNOWN_PRODUCTS},
+buyers as (select distinct o_custkey ck from orders where o_orderdate < timestamp '1996-01-01 00:00:00')
+select l_orderkey, l_linenumber, k "ProductKey", ck + 1 "CustomerKey"
+from lineitem left join products on l_partkey = ak left join buyers on l_suppkey = ck and l_linenumber % 2 = 0""",
     "lookup_unknown_key": f"""
 with {_KNOWN_PRODUCTS}
 select l_orderkey, l_linenumber, l_suppkey, coalesce(k, -1) "ProductKey"
@@ -348,6 +358,10 @@ with ctl as (select event_type, case when event_type <> 'error' then max(ts) end
 select flow "DataFlowName", coalesce(ts, timestamp '1900-01-01 00:00:00') "LastSuccessfulModifiedDate",
        '2024-02-01 00:00:00' "CurrentDate"
 from (select unnest(['click', 'error', 'absent']) flow) left join ctl on flow = event_type""",
+    "watermark_zone": """
+select 'click' "DataFlowName", max(ts) "LastSuccessfulModifiedDate", '2024-02-01 00:00:00' "CurrentDate",
+       regexp_replace(current_setting('TimeZone'), '^Etc/', '') "CurrentTimezone"
+from events where event_type = 'click'""",
     "watermark_upsert": """
 select event_type "DataFlowName",
        case event_type when 'click' then timestamp '2024-02-01 00:00:00' when 'error' then null else max(ts) end

@@ -83,21 +83,31 @@ def sink_rewrite(r: Retail) -> DataFrame:
 
 @query
 def describe_table(r: Retail) -> DataFrame:
+    """Columns, types and format of a table that holds the nations."""
     database, where = _fresh_database(r.spark)
-    name = f"{database}.nations"
-    sinks.create_tables(r.spark, database, {"nations": "n_nationkey INT, n_name STRING, n_regionkey INT"}, where)
-    sinks.append_table(r.table("nation"), name)
-    return sinks.describe_table(r.spark, name)
+    name, nations = f"{database}.nations", r.table("nation")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nations.schema)
+    sinks.create_tables(r.spark, database, {"nations": columns}, where)
+    sinks.append_table(nations, name)
+    told = sinks.describe_table(r.spark, name)
+    return told.filter(F.col("col_name").isin(*nations.columns, "Provider")).select("col_name", F.lower("data_type").alias("data_type"))
 
 
 @query
 def changed_sources(r: Retail) -> DataFrame:
-    """A staging set written just now is up to date; one that was never written is not."""
-    staged = scratch_path(r.spark, "staged-customers")
-    sinks.write_staging(r.table("customer"), staged)
-    files = [f"{r.folder}/customer.parquet", f"{r.folder}/orders.parquet"]
-    checks = {"customer": (staged, files), "sales": (scratch_path(r.spark, "absent"), files)}
-    return sources.changed_sources(r.spark, checks).select("staging", "rebuild")
+    """A staging set written just now is up to date and serves again; one that was never written is built.
+
+    Per set: what the gate said, and the rows that the set then holds.
+    """
+    paths = {"customer": scratch_path(r.spark, "customer"), "orders": scratch_path(r.spark, "orders")}
+    sinks.write_staging(r.table("customer"), paths["customer"])
+    said = sources.changed_sources(r.spark, {t: (p, [f"{r.folder}/{t}.parquet"]) for t, p in paths.items()})
+    sets = []
+    for row in said.select("staging", "rebuild").collect():  # one row per set
+        path = paths[row["staging"]]
+        held = sinks.write_staging(r.table(row["staging"]), path) if row["rebuild"] else sources.scan_parquet(r.spark, path)
+        sets.append(held.agg(F.lit(row["staging"]).alias("staging"), F.lit(row["rebuild"]).alias("rebuild"), F.count(F.lit(1)).alias("n_rows")))
+    return sets[0].unionByName(sets[1])
 
 
 # -- dimensions ------------------------------------------------------------------
@@ -289,6 +299,23 @@ def lookup_unknown_key(r: Retail) -> DataFrame:
     return ops.lookup_key(_product_lines(r), r.known_products(), "ProductKey", "ProductAK", unknown_key=-1)
 
 
+@query
+def lookup_mixed_type_keys(r: Retail) -> DataFrame:
+    """Keys of other types than the dimension's: zero-padded texts match the number, fractions match nothing."""
+    half = F.when(F.col("l_linenumber") % 2 == 1, 0.5).otherwise(0.0)
+    lines = r.table("lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.lpad(F.col("l_partkey").cast("string"), 12, "0").alias("ProductAK"),
+        (F.col("l_suppkey").cast("double") + half).alias("CustomerAK"),
+    )
+    roles = [
+        ops.Lookup(r.known_products(), "ProductAK", "ProductKey"),
+        ops.Lookup(r.known_customers(), "CustomerAK", "CustomerKey"),
+    ]
+    return ops.lookup_keys(lines, roles)
+
+
 @query
 def lookup_missing(r: Retail) -> DataFrame:
     return ops.missing_members(_product_lines(r), r.known_products(), "ProductAK")
@@ -389,6 +416,13 @@ def watermark_read(r: Retail) -> DataFrame:
     return flows[0].unionByName(flows[1]).unionByName(flows[2])
 
 
+@query
+def watermark_zone(r: Retail) -> DataFrame:
+    """The window of a flow with the time zone of the session."""
+    window = ops.with_zone(ops.read_watermark(r.control(), "click", RUN))
+    return window.withColumn("CurrentTimezone", F.regexp_replace("CurrentTimezone", "^Etc/", ""))
+
+
 @query
 def watermark_upsert(r: Retail) -> DataFrame:
     return ops.upsert_watermark(r.control(), "click", RUN)

@@ -46,15 +46,17 @@ def scan_delimited(
     return df.withColumns(fixes) if fixes else df
 
 
-def scan_source(spark: SparkSession, folder: str, table: str, suffix: str = ".csv", **options: str) -> DataFrame:
-    """One of the declared source tables, from ``<folder>/<table><suffix>``."""
-    return scan_delimited(
-        spark,
-        f"{folder.rstrip('/')}/{table}{suffix}",
-        schema_of(table),
-        float_ids=FLOAT_WRITTEN_IDS.get(table, ()),
-        **options,
-    )
+def scan_source(
+    spark: SparkSession, folder: str, table: str, suffix: str = ".csv", optional: bool = False, **options: str
+) -> DataFrame:
+    """One of the declared source tables, from ``<folder>/<table><suffix>``; an ``optional`` one may be absent."""
+    path, schema = f"{folder.rstrip('/')}/{table}{suffix}", schema_of(table)
+    try:
+        return scan_delimited(spark, path, schema, float_ids=FLOAT_WRITTEN_IDS.get(table, ()), **options)
+    except AnalysisException as error:
+        if not optional or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _struct(schema))
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

@@ -238,3 +238,28 @@ def test_load_from_files_rebuilds_only_what_changed(spark, tmp_path):
     w.run(None, DAY3, SPAN)
     assert {name for name in built if newest(name) != built[name]} == {"sales", "customer"}
     assert w.table("FactSales").count() == 6
+
+
+def test_repeated_members_are_decided_or_rejected(spark, tmp_path):
+    staged = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (None, "x", 1), (None, "y", 1)], "PromotionAK int, PromotionName string, Seen int")
+    w = plans.Warehouse(spark, f"w_{uuid.uuid4().hex}", latest={"DimPromotion": ["Seen"]}).create(str(tmp_path / "db"))
+    w.merge("DimPromotion", staged, "PromotionAK", "PromotionKey")
+    assert rows(w.table("DimPromotion"), "PromotionAK", "PromotionName") == [(1, "new")]
+    strict = plans.Warehouse(spark, w.database, reject=True)
+    with pytest.raises(ValueError, match="more than one row"):
+        strict.merge("DimPromotion", staged, "PromotionAK", "PromotionKey")
+    strict.merge("DimPromotion", staged.filter("Seen = 1"), "PromotionAK", "PromotionKey")  # rows without a key name no member
+    assert w.table("DimPromotion").count() == 1
+
+
+def test_an_optional_source_may_be_absent(spark, tmp_path):
+    for name, df in world(spark).items():
+        if name != "SpecialOffer":
+            df.coalesce(1).write.option("sep", "\t").csv(str(tmp_path / "lake" / f"{name}.csv"))
+    database, lake, staging = f"w_{uuid.uuid4().hex}", str(tmp_path / "lake"), str(tmp_path / "staging")
+    w = plans.Warehouse(spark, database, files=plans.Files(lake, staging, optional=["SpecialOffer"])).create(str(tmp_path / "db"))
+    w.run(None, DAY2, SPAN)
+    assert w.table("FactSales").count() == 5
+    assert w.table("DimPromotion").isEmpty()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        plans.Warehouse(spark, database, files=plans.Files(lake, staging)).sources()
