@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -44,12 +44,15 @@ def lookup_keys(
 
     A fact without a match keeps a NULL key, or gets ``unknown_key`` if that is
     given.  All dimensions are measured in one job, each once however many roles
-    it plays; hot keys are searched only for big ones, in the fact as it came in.
+    it plays, and may be broadcast up to an equal part of the limit; hot keys are
+    searched only for big ones, in the fact as it came in.
     """
     staged = fact
     pairs = [role.pairs(expiry) for role in lookups]
     first = {id(role.dim): i for i, role in reversed(list(enumerate(lookups)))}
-    fits = dict(zip(first, are_small([pairs[i] for i in first.values()], limits), strict=True))
+    # All roles end up in one plan, so they share one broadcast budget.
+    budget = replace(limits, broadcast_bytes=limits.broadcast_bytes // max(1, len(lookups)))
+    fits = dict(zip(first, are_small([pairs[i] for i in first.values()], budget), strict=True))
     for role, pair in zip(lookups, pairs, strict=True):
         small = fits[id(role.dim)]
         hot = {} if small else hot_keys(staged, role.fact_key, limits)

@@ -1,6 +1,6 @@
 from .calendar import calendar_days
 from .freshness import changed_sources, file_times, is_built_from, manifest, manifest_path, needs_rebuild
-from .scans import scan_delimited, scan_optional, scan_parquet, scan_source, scan_tables
+from .scans import scan_delimited, scan_optional, scan_parquet, scan_source
 from .schemas import FLOAT_WRITTEN_IDS, SOURCE_TABLES, STAGING_SOURCES, WAREHOUSE_TABLES, schema_of
 
 __all__ = [
@@ -19,6 +19,5 @@ __all__ = [
     "scan_optional",
     "scan_parquet",
     "scan_source",
-    "scan_tables",
     "schema_of",
 ]

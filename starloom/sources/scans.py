@@ -73,7 +73,3 @@ def scan_optional(spark: SparkSession, path: str, schema: StructType | str) -> D
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], _struct(schema))
-
-
-def scan_tables(spark: SparkSession, *names: str) -> list[DataFrame]:
-    return [spark.table(name) for name in names]
