@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import changed, typed_null
 from ..limits import DEFAULT, Limits
+from ..scratch import materialize
 from .members import conform, one_per_key
 from .numbering import assign_keys
 from .skew import as_list, is_small, skew_join
@@ -44,6 +45,28 @@ def _matched(
     return both.withColumns({"_resolve": seen & current & waiting, "_expire": seen & current & ~waiting & differs})
 
 
+def member_changes(
+    dest: DataFrame,
+    staging: DataFrame,
+    alt_key: str,
+    key: str,
+    tracked: str | Sequence[str],
+    expiry: str = "ExpirationDate",
+    inferred: str | None = None,
+    latest: str | Sequence[str] = (),
+    limits: Limits = DEFAULT,
+) -> DataFrame:
+    """The rows of ``dest`` that staging acts on, by key, with the new values and what should happen.  Stored:
+    the join of dimension and staging runs once, and what it finds is usually small."""
+    both = _matched(dest, staging, alt_key, key, as_list(tracked), expiry, inferred, latest, limits)
+    kinds = {f.name.lower(): f.dataType for f in dest.schema}
+    new = [c for c in staging.columns if c not in (alt_key, key) and c.lower() in kinds]
+    found = both.filter("_expire OR _resolve").select(
+        key, alt_key, *[F.col(_NEW + c).cast(kinds[c.lower()]).alias(_NEW + c) for c in new], "_resolve", "_expire"
+    )
+    return materialize(found, "changes")
+
+
 def changed_members(
     dest: DataFrame,
     staging: DataFrame,
@@ -94,6 +117,7 @@ def apply_history(
     inferred: str | None = None,
     latest: str | Sequence[str] = (),
     limits: Limits = DEFAULT,
+    changes: DataFrame | None = None,
 ) -> DataFrame:
     """The whole dimension after the staged rows were taken in.
 
@@ -102,11 +126,15 @@ def apply_history(
     * an inferred member is completed in place and keeps its key;
     * all other rows, older versions included, stay as they are.
 
-    Old rows are updated by CASE in the join with staging, so they are neither
-    joined again nor excluded by anti-joins.
+    Old rows are updated by CASE in a join with the stored ``changes`` (found here if
+    not given, see ``member_changes``), so they are not excluded by anti-joins, and
+    few changes cost no shuffle of the dimension.  Keys must be unique in ``dest``.
     """
     tracked = as_list(tracked)
-    both = _matched(dest, staging, alt_key, key, tracked, expiry, inferred, latest, limits)
+    if changes is None:
+        changes = member_changes(dest, staging, alt_key, key, tracked, expiry, inferred, latest, limits)
+    both = skew_join(dest, changes.drop(alt_key), key, "left", limits, hot={})
+    both = both.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("_resolve", "_expire")})
     now = F.lit(run_ts)
 
     def updated(name: str) -> Column:
@@ -127,11 +155,12 @@ def apply_history(
     fixed = {load_date: now, expiry: typed_null(dest.schema[expiry].dataType)}
     if inferred:
         fixed[inferred] = F.lit(0)
+    new = [c.removeprefix(_NEW) for c in changes.columns if c.startswith(_NEW)]
     fresh = (
-        both.filter("_expire")
+        changes.filter("_expire")
         .select(
             alt_key,
-            *[F.col(_NEW + c).alias(c) for c in staging.columns if c not in (alt_key, key, *fixed)],
+            *[F.col(_NEW + c).alias(c) for c in new if c not in fixed],
             *[v.alias(c) for c, v in fixed.items() if c in dest.columns],
         )
         .dropDuplicates([alt_key])

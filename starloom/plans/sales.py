@@ -21,6 +21,7 @@ def stage_sales(
     line_order: Sequence[str] = ("SalesOrderDetailID",),
     few_orders: bool = False,
     limits: Limits = DEFAULT,
+    number_all_lines: bool = False,
 ) -> DataFrame:
     """One row per order line, numbered within its order, with cost and its share of tax and freight.
 
@@ -30,6 +31,9 @@ def stage_sales(
     and joined apart (see ``number_in_groups``).  If ``few_orders`` says that the
     headers are few - only new orders, say - and their size proves it, lines of
     other orders are dropped by a broadcast before any shuffle.
+
+    A line without a product takes no number, unless ``number_all_lines`` is set:
+    then its number stays free until the product arrives.  Either way it is left out.
     """
     orders = header.select(
         "SalesOrderID",
@@ -54,10 +58,9 @@ def stage_sales(
     few = few_orders and is_small(orders, limits)
     if few:
         lines = skew_join(lines, orders, "SalesOrderID", "left_semi", limits, small=True)
-    # A line without a product takes no number, so products come first.
-    costed = skew_join(lines, costs, "ProductID", "inner", limits)
+    with_costs = lambda rows: skew_join(rows, costs, "ProductID", "inner", limits)
     sold = number_in_groups(
-        costed,
+        lines if number_all_lines else with_costs(lines),
         "SalesOrderID",
         line_order,
         "SalesOrderLineNumber",
@@ -65,6 +68,8 @@ def stage_sales(
         then=lambda rows, hot: skew_join(rows, orders, "SalesOrderID", "inner", limits, hot, small=few),
         size_from=lines,
     )
+    if number_all_lines:
+        sold = with_costs(sold)
     return sold.select(
         "SalesOrderNumber",
         "SalesOrderLineNumber",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..limits import DEFAULT, Limits
 from ..operators import control
-from ..operators.history import apply_history, has_changes
+from ..operators.history import apply_history, member_changes
 from ..operators.lookup import inferred_members
 from ..operators.members import insert_new, one_per_key
 from ..operators.skew import as_list
@@ -63,11 +63,14 @@ class Warehouse:
         files: Files | None = None,
         latest: Mapping[str, Sequence[str]] | None = None,
         reject: bool = False,
+        number_all_lines: bool = False,
     ):
         """``latest`` names, per dimension table, the staged columns that decide between rows of one
-        member; with ``reject`` a member that is staged twice raises instead."""
+        member; with ``reject`` a member that is staged twice raises instead.  ``number_all_lines`` gives
+        lines without a product their numbers too, so a product that arrives later shifts none: to be set
+        from the first load on where facts are compared line by line."""
         self.spark, self.database, self.limits, self.files = spark, database, limits, files
-        self.latest, self.reject = latest or {}, reject
+        self.latest, self.reject, self.number_all_lines = latest or {}, reject, number_all_lines
 
     def sources(self) -> dict[str, DataFrame]:
         """The declared source tables as scans of the source folder; absent optional ones are empty."""
@@ -122,8 +125,10 @@ class Warehouse:
         if not tracked:
             return
         options = {"inferred": inferred, "latest": latest, "limits": self.limits}
-        if has_changes(self.table(table), staging, alt_key, key, tracked, **options):
-            rewrite_table(apply_history(self.table(table), staging, alt_key, key, tracked, run_ts, **options), name)
+        dest = self.table(table)
+        changes = member_changes(dest, staging, alt_key, key, tracked, **options)
+        if not changes.isEmpty():
+            rewrite_table(apply_history(dest, staging, alt_key, key, tracked, run_ts, changes=changes, **options), name)
 
     def load_dimensions(self, src: Mapping[str, DataFrame], run_ts: datetime) -> None:
         self._together(*self._dimension_loads(src, run_ts))
@@ -209,10 +214,11 @@ class Warehouse:
                     sales.new_fact_rows(header, self.table("FactSales"), ORDER, self.limits), "new-orders"
                 )
             return sales.stage_sales(
-                header, src["SalesOrderDetail"], src["Product"], line_order, whole_orders, self.limits
+                header, src["SalesOrderDetail"], src["Product"], line_order, whole_orders, self.limits,
+                self.number_all_lines,
             )
 
-        staged = self.stage("sales", build, tag=f"{as_list(key)}|{list(line_order)}")
+        staged = self.stage("sales", build, tag=f"{as_list(key)}|{list(line_order)}|{self.number_all_lines}")
         if self.files is None and whole_orders:
             return materialize(staged, "new-facts")
         # A kept staging set may be older than the fact table.
