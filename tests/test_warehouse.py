@@ -208,15 +208,20 @@ def test_lines_without_a_product_take_no_number(spark):
 
 def test_a_product_that_arrives_later_brings_its_line_once(spark, tmp_path):
     key = ["SalesOrderNumber", "SalesOrderLineNumber"]
-    for limits in (Limits(), SALTED):
-        place = str(tmp_path / uuid.uuid4().hex)
-        w = plans.Warehouse(spark, f"w_{uuid.uuid4().hex}", limits, number_all_lines=True).create(place)
-        src = world(spark, SalesOrderDetail=[line(1, 10), line(1, 11, product=999), line(1, 12)])
-        w.run(src, DAY2, SPAN, fact_key=key)
-        assert rows(w.table("FactSales"), *key) == [("SO1", 1), ("SO1", 3)]
-        late = table(spark, "Product", {"ProductID": 999, "Name": "Late", "StandardCost": money("1")})
-        w.run({**src, "Product": src["Product"].unionByName(late)}, DAY3, SPAN, fact_key=key)
-        assert rows(w.table("FactSales"), *key) == [("SO1", 1), ("SO1", 2), ("SO1", 3)]
+    w = plans.Warehouse(spark, f"w_{uuid.uuid4().hex}", number_all_lines=True).create(str(tmp_path / "db"))
+    src = world(spark, SalesOrderDetail=[line(1, 10), line(1, 11, product=999), line(1, 12)])
+    late = table(spark, "Product", {"ProductID": 999, "Name": "Late", "StandardCost": money("1")})
+    for products, expected in ((src["Product"], [1, 3]), (src["Product"].unionByName(late), [1, 2, 3])):
+        w.load_facts(w.new_lines({**src, "Product": products}, ["SalesOrderDetailID"], key), DAY2, key)
+        assert rows(w.table("FactSales"), *key) == [("SO1", n) for n in expected]
+
+
+def test_numbers_of_all_lines(spark):
+    src = world(spark, SalesOrderDetail=[line(1, 10), line(1, 11, product=999), line(1, 12)])
+    staged = plans.stage_sales(
+        src["SalesOrderHeader"], src["SalesOrderDetail"], src["Product"], limits=SALTED, number_all_lines=True
+    )
+    assert rows(staged, "SalesOrderNumber", "SalesOrderLineNumber") == [("SO1", 1), ("SO1", 3)]
 
 
 def test_load_from_files_rebuilds_only_what_changed(spark, tmp_path):
