@@ -6,7 +6,9 @@ vectors is the weight of the pair, so an insult next to the mention of a group
 can count for more than both alone.
 
 Labels come from a bounded sample (``SAMPLE`` labelled rows, those with the
-smallest hash of the id); copies and near copies among them count once.  Terms
+smallest hash of the id).  Rows of one label whose sets of terms are equal or at
+least 0.8 similar (Jaccard) count once, decided on the whole sets in the order of the
+hashes, so the model does not depend on how rows are dealt to tasks.  Terms
 enter by document frequency and their association with the label.  The model
 is small and goes to the tasks with the code; every text is scored whole, where it is read.
 
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import fold, map_arrow
-from .words import ALPHANUMERIC, mix64, pieces, words
+from .words import ALPHANUMERIC, pieces, words
 
 SAMPLE = 12_000
 TERMS = 8192
@@ -35,7 +37,7 @@ FACTORS = 4
 EPOCHS = 80
 FOLDS = 5
 THRESHOLD = 0.5
-_HASHES = 4
+NEAR = (4, 5)  # similarity from which two rows of one label are near copies
 
 
 @dataclass
@@ -78,30 +80,52 @@ def known(hashes: np.ndarray, row: np.ndarray, terms: np.ndarray) -> tuple[np.nd
 
 
 def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
-    sets, marks = [], []
-    for piece in pieces(batch.column(1)):
+    sets = []
+    for piece in pieces(batch.column(3)):
         w = words(piece, ALPHANUMERIC)
         bounds = np.searchsorted(w.row, np.arange(piece.last - piece.first + 1))
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            h = w.hashes[a:b]
-            pair = mix64(h[:-1] * np.uint64(31) + h[1:]) if len(h) > 1 else h
-            marks.append([int(mix64(pair ^ np.uint64(i + 1)).min().view(np.int64)) if len(pair) else i for i in range(_HASHES)])
-            sets.append(np.unique(h).tobytes())
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0), pa.array(marks, pa.list_(pa.int64())), pa.array(sets, pa.binary())], names=["y", "marks", "terms"]
-    )
+        sets.extend(np.unique(w.hashes[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:]))
+    return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.binary())], names=["at", "key", "y", "terms"])
+
+
+def without_copies(sets: list[np.ndarray], y: np.ndarray, frequency: np.ndarray) -> list[int]:
+    """The rows that are not near copies of a row of the same label that is kept before them.
+
+    ``sets``: the places of each row's terms; ``frequency``: how many rows have each term.
+    The rarest terms of a set, all but 0.8 of it and one more, are its keys: two sets that are
+    0.8 similar share one, so no near copy is missed, and whole sets decide about those that share one.
+    """
+    over, under = NEAR
+    rank = np.empty(len(frequency), np.int64)
+    rank[np.argsort(frequency, kind="stable")] = np.arange(len(frequency))
+    met: dict[tuple, list[int]] = {}
+    keep, inside = [], np.zeros(len(frequency), bool)
+    for i, s in enumerate(sets):
+        n, label = len(s), y[i]
+        first = np.sort(rank[s])[: n - -(-over * n // under) + 1].tolist() if n else [-1]
+        rows = {j for k in first for j in met.get((label, k), ()) if under * min(n, len(sets[j])) >= over * max(n, len(sets[j]))}
+        inside[s] = True
+        common = {j: int(np.count_nonzero(inside[sets[j]])) for j in rows}
+        inside[s] = False
+        if any(under * c >= over * (n + len(sets[j]) - c) for j, c in common.items()):
+            continue
+        keep.append(i)
+        for k in first:
+            met.setdefault((label, k), []).append(i)
+    return keep
 
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label_col: str, sample: int, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS
 ) -> DataFrame:
-    """``y, text`` of at most ``sample`` labelled documents outside of fold 0."""
+    """``at, key, y, text`` (hash of the id and the id as text) of at most ``sample`` labelled documents outside of fold 0."""
     y = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").cast("double").alias("y"))
     y = y.filter("_id is not null and y is not null").filter(fold("_id", folds) != 0)
     y = y.groupBy("_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("text"))
     # At most ``sample`` rows are broadcast.
-    return texts.join(F.broadcast(y), "_id").groupBy("_id").agg(F.max("y").alias("y"), F.max("text").alias("text")).select("y", "text")
+    rows = texts.join(F.broadcast(y), "_id").groupBy("_id").agg(F.max("y").alias("y"), F.max("text").alias("text"))
+    return rows.select(F.xxhash64("_id").alias("at"), F.col("_id").cast("string").alias("key"), "y", "text")
 
 
 def fit(
@@ -116,22 +140,15 @@ def fit(
     epochs: int = EPOCHS,
 ) -> FactorizationMachine:
     rows = labelled_sample(docs, labels, label_col, sample, id_col, text_col)
-    found = map_arrow(rows, _features, "y double, marks array<long>, terms binary").toArrow()  # at most ``sample`` rows
+    found = map_arrow(rows, _features, "at long, key string, y double, terms binary").toArrow()  # at most ``sample`` rows
+    found = found.sort_by([("at", "ascending"), ("key", "ascending")])
+    nothing = np.zeros(0, np.uint64)
     y = found.column("y").to_numpy()
-    order = np.argsort([hash(m.as_py()[0]) if m.is_valid else 0 for m in found.column("marks")], kind="stable")
-    seen: list[set] = [set() for _ in range(_HASHES)]
-    keep, sets = [], []
-    marks, raw = found.column("marks").to_pylist(), found.column("terms").to_pylist()
-    for i in order:
-        if any(m in s for m, s in zip(marks[i], seen)):
-            continue  # a copy or near copy of one that is in
-        for m, s in zip(marks[i], seen):
-            s.add(m)
-        keep.append(i)
-        sets.append(np.frombuffer(raw[i], np.uint64))
-    y = y[keep] if keep else y[:0]
+    sets = [np.frombuffer(raw, np.uint64) for raw in found.column("terms").to_pylist()]
+    terms, at, docs_ = np.unique(np.concatenate([nothing, *sets]), return_inverse=True, return_counts=True)
+    keep = without_copies(np.split(at, np.cumsum([len(s) for s in sets])[:-1]) if sets else [], y, docs_)
+    y, sets = y[keep], [sets[i] for i in keep]
     share = float(y.mean()) if len(y) else 0.0
-    nothing = np.zeros(0, np.uint64)
     if share in (0.0, 1.0):
         bias = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
         return FactorizationMachine(nothing, bias, np.zeros(0), np.zeros((0, factors)))

@@ -206,6 +206,23 @@ def test_toxicity(docs, none, spark):
     assert toxicity.score(none, empty).isEmpty()
 
 
+def test_only_near_copies_of_one_label_count_once(spark, monkeypatch):
+    rows = [(i, "plain words " + " ".join(f"u{i}x{k}" for k in range(8)), i % 2) for i in range(100)]
+    long = " ".join(f"z{k}" for k in range(40))
+    # A copy, a near copy (38 of 42 terms), a text half alike, and a copy of the other label.
+    alike = [(long, 1), (long, 1), (long.replace("z3 ", "y3 ").replace("z4 ", "y4 "), 1), (long[: len(long) // 2], 1), (long, 0)]
+    ids = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % toxicity.FOLDS][: len(alike)]
+    rows += [(i, *a) for i, a in zip(ids, alike)]
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda *a: seen.append([x.tolist() if hasattr(x, "tolist") else x for x in a]))
+    for parts in (1, 7):
+        frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(parts)
+        toxicity.fit(frame.drop("toxic"), frame.drop("text"))
+    want = Counter(float(y) for i, _, y in rows[:100] if zlib.crc32(str(i).encode()) % toxicity.FOLDS) + Counter([1.0, 1.0, 0.0])
+    assert Counter(seen[0][2]) == want
+    assert seen[0] == seen[1]  # also in the same order
+
+
 def test_language(docs, none, spark):
     sf = table(spark, "/root/testdata/sf0.01", "documents")
     model = langid.fit(sf)
