@@ -35,6 +35,7 @@ from .words import _power, mix64
 CAPACITY = 2048
 END = 0
 VOCABULARY = "byte_bpe_50k.tiktoken"  # the same ids as byte_bpe_50k.json
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256  # the added token of byte_bpe_50k.json
 PIECE_CHARS = 2 << 20
 
 # Classes of characters in the splitting pattern of the vocabulary.
@@ -46,7 +47,8 @@ class Tokenizer:
 
     The vocabulary's pattern cuts a text into short parts that are encoded on
     their own.  The cuts are found with array operations; each distinct part is
-    encoded once per task.
+    encoded once per task.  The special token's string inside a text is that token,
+    and what stands on its two sides is encoded as texts of their own.
     """
 
     def __init__(self, path: str) -> None:
@@ -133,6 +135,15 @@ class Tokenizer:
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
+        if not any(SPECIAL in t for t in texts):
+            return self._ordinary(texts)
+        split = [t.split(SPECIAL) for t in texts]
+        parts = iter(self._ordinary([p for s in split for p in s]))
+        mark = np.array([SPECIAL_ID], np.int32)
+        return [np.concatenate([x for part in itertools.islice(parts, len(s)) for x in (mark, part)][1:]) for s in split]
+
+    def _ordinary(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, none of which holds the special token."""
         if len(self.known) > 1 << 20:  # bounded memory; parts met again are encoded again
             self._forget()
         sizes = np.array([len(t) for t in texts], np.int64)

@@ -152,6 +152,18 @@ def test_token_ids_are_those_of_the_public_tokenizer(texts):
         assert ids.tolist() == theirs.encode(t, add_special_tokens=False).ids
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([packing.SPECIAL, packing.SPECIAL[:-1], "<|", " ", "  ", "\n", "a", " b's", "é1", "."]), max_size=8).map("".join), max_size=5))
+def test_special_token_inside_a_text_is_that_token(texts):
+    from tokenizers import Tokenizer
+
+    if "contract" not in _TOKENIZERS:
+        _TOKENIZERS["contract"] = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+        _TOKENIZERS["own"] = packing.Tokenizer(vocabulary(packing.VOCABULARY))
+    for t, ids in zip(texts, _TOKENIZERS["own"].batch(texts)):
+        assert ids.tolist() == _TOKENIZERS["contract"].encode(t, add_special_tokens=False).ids
+
+
 _TOKENIZERS = {}
 
 
