@@ -318,6 +318,32 @@ def test_main_text(spark):
     assert html_extract.extract(frame.limit(0)).isEmpty()
 
 
+def test_names_alone_lose_no_article():
+    def main_text(page):
+        return [text for _, text, out, main in html_extract.page_blocks(page) if text and main and not out]
+
+    def rest(page):
+        return [text for _, text, out, _ in html_extract.page_blocks(page) if text and not out]
+
+    for tag in (
+        "article class='post alert'", "article id='comment-policy'", "main class='sidebar'", "div role='main' class='widget'",
+    ):
+        assert main_text(f"<body><{tag}><p>own</p></{tag.split()[0]}></body>") == ["own"]
+    for mark in ("content with-sidebar", "no-sidebar", "side-by-side", "sidebar", "page-wrapper left-sidebar", "modal overlay"):
+        assert main_text(f"<div class='{mark}'><div><article><p>own</p></article></div></div>") == ["own"]
+    for mark in ("content with-sidebar", "no-sidebar", "side-by-side", "related-work", "comment-policy", "no_menu"):
+        assert rest(f"<section id='{mark}'><p>own</p></section>") == ["own"]
+        assert main_text(f"<article><section class='{mark}'><p>own</p></section></article>") == ["own"]
+    for mark in ("ad", "post comments", "cookie-notice", "cookie_consent-banner", "comment-list", "main-nav", "site-header", "share"):
+        assert rest(f"<div class='{mark}'><p>no</p></div><p>own</p>") == ["own"]
+        assert main_text(f"<article><p>own</p><div id='{mark.split()[-1]}'>no</div></article>") == ["own"]
+    # An article inside another one is a comment there, not the article.
+    assert main_text("<article><p>own</p><div class='comments'><article>reader</article></div></article>") == ["own"]
+    # What stands beside the article in a wrapper is judged by its own name.
+    page = "<div class='sidebar'><div class='ad'>no</div><article>own</article><div class='related'>no</div></div>"
+    assert rest(page) == ["own"]
+
+
 def test_pipeline(spark, tmp_path, docs):
     for name, frame in (("documents", docs), ("labels", table(spark, SF, "labels"))):
         frame.write.parquet(f"{tmp_path}/{name}.parquet")
