@@ -318,6 +318,13 @@ def test_main_text(spark):
     assert html_extract.extract(frame.limit(0)).isEmpty()
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    rows = [(i, f"http://copies.org/{i}", "<div>own text</div><div>more</div>") for i in range(8)]
+    rows += [(20, "http://copies.org/20", "<div>another page</div>")] * 8
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert Counter(r["text"] for r in got) == {"own text\n\nmore": 8, "another page": 8}
+
+
 def test_names_alone_lose_no_article():
     def main_text(page):
         return [text for _, text, out, main in html_extract.page_blocks(page) if text and main and not out]
