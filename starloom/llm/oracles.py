@@ -89,9 +89,77 @@ select page_id, n as payload_bytes, d as payload_digest, case when page_id = top
 from m
 """
 
+OP11 = rf"""
+with recursive d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+         regexp_extract_all(coalesce(text, ''), '{_WORDS}') as ws from documents
+), m as (
+  select doc_id, part,
+         case when len(ws) < 100 then 1 else 0 end
+         + case when 100 * len(list_distinct(ws)) < 80 * len(ws) then 2 else 0 end
+         + case when 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) then 4 else 0 end
+         + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end
+         + case when doc_id > min(doc_id) over (partition by t) then 16 else 0 end as mask
+  from d
+), y as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as bad
+  from labels group by doc_id
+), c as (
+  select part, mask, coalesce(good, 0) as good, coalesce(bad, 0) as bad, count(*) as n
+  from m left join y on y.doc_id = m.doc_id group by all
+), o(name, step, bit, earlier) as (  -- the beginnings of all orders, with the filters before the last
+  select chr(65 + i::int), 1, 1 << i::int, 0 from range(5) r(i)
+  union all
+  select name || chr(65 + i::int), step + 1, 1 << i::int, earlier | bit from o, range(5) r(i)
+  where step < 5 and not contains(name, chr(65 + i::int))
+), s as (  -- every step of every whole order
+  select w.name as filter_order, o.step, o.bit, o.earlier
+  from o w join o on w.step = 5 and left(w.name, o.step) = o.name
+), u as (
+  select part, filter_order, step, bit,
+         sum(case when mask & (earlier | bit) = 0 then n else 0 end)::bigint as kept,
+         sum(case when mask & earlier = 0 and mask & bit > 0 then n else 0 end)::bigint as removed,
+         sum(case when mask & earlier > 0 and mask & bit > 0 then n else 0 end)::bigint as redundant,
+         sum(case when mask = bit then n else 0 end)::bigint as unique_fails,
+         sum(case when mask & earlier = 0 and mask & bit > 0 then n * good else 0 end)::bigint as good_lost,
+         sum(case when mask & earlier = 0 and mask & bit > 0 then n * bad else 0 end)::bigint as toxic_lost
+  from c, s group by part, filter_order, step, bit
+)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) over (partition by part, bit))::bigint as shapley
+from u
+"""
+
+OP13 = rf"""
+with d as (
+  select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(doc_id::varchar, '')) as h,
+         regexp_extract_all(coalesce(text, ''), '{_SPACES[:-1]}*{_WORDS}|{_SPACES}') as u
+  from documents
+), c as (
+  select *, len(u)::bigint as n,
+         ('0x' || substr(h, 1, 8))::bigint % (len(u) + 1) as x, ('0x' || substr(h, 9, 8))::bigint % (len(u) + 1) as y,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                   or ('0x' || substr(h, 17, 8))::bigint % 100 >= 50 then 'plain'
+              when ('0x' || substr(h, 25, 8))::bigint % 100 < 80 then 'spm' else 'psm' end as form
+  from d
+), p as (
+  select *, array_to_string(u[1 : least(x, y)], '') as a, array_to_string(u[least(x, y) + 1 : greatest(x, y)], '') as b,
+         array_to_string(u[greatest(x, y) + 1 : n], '') as c
+  from c
+)
+select doc_id, n, form,
+       case when form <> 'plain' then length(a) end as prefix_chars, case when form <> 'plain' then length(b) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || a || '<S>' || c || '<M>' || b
+                   else '<S>' || c || '<P>' || a || '<M>' || b end) as output_sha256,
+       sha256(t) as restored_sha256
+from p
+"""
+
 ORACLES = {
     "op1_ngram_join": OP1,
     "op2_mixing": OP2,
     "op4_warc": OP4,
     "op5_exact_dedup": OP5,
+    "op11_filter_audit": OP11,
+    "op13_fim": OP13,
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..scratch import materialize
-from . import ann, exact_dedup, html_extract, langid, mixing, ngram_join, packing, quality, toxicity, warc
+from . import (
+    ann, exact_dedup, filter_audit, fim, html_extract, langid, mixing, ngram_join, packing, quality, simhash, toxicity, warc,
+)
 from .common import table, vocabulary
 
 
@@ -62,6 +64,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.transform(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
@@ -73,4 +96,7 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_html": op9_html,
     "op10_quality": op10_quality,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_simhash": op12_simhash,
+    "op13_fim": op13_fim,
 }
