@@ -9,12 +9,13 @@ Labels come from a bounded sample (``SAMPLE`` labelled rows, those with the
 smallest hash of the id).  Rows of one label whose sets of terms are equal or at
 least 0.8 similar (Jaccard) count once, decided on the whole sets in the order of the
 hashes, so the model does not depend on how rows are dealt to tasks.  Terms
-enter by document frequency and their association with the label.  The model
-is small and goes to the tasks with the code; every text is scored whole, where it is read.
+enter by document frequency and their association with the label.  The bounded sample is
+learned from in one task on an executor; the model, at most ``TERMS`` terms, is all that the driver
+gets, and goes to the tasks with the code; every text, however long, is scored whole, where it is read.
 
 Defined cases: NULL and empty texts get the score of the bias alone; without
 labels of both kinds all texts get the share of toxic labels (0 without labels);
-rows that repeat an id are scored each; other columns are not looked at.
+rows that repeat an id are scored each; equal texts get equal scores; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import fold, map_arrow
-from .words import ALPHANUMERIC, pieces, words
+from .words import ALPHANUMERIC, mix64, pieces, words
 
 SAMPLE = 12_000
 TERMS = 8192
@@ -38,6 +39,7 @@ EPOCHS = 80
 FOLDS = 5
 THRESHOLD = 0.5
 NEAR = (4, 5)  # similarity from which two rows of one label are near copies
+BITMAPS = (256, 2048)  # bits of the bitmaps of a set, the coarse one first
 
 
 @dataclass
@@ -88,31 +90,45 @@ def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.binary())], names=["at", "key", "y", "terms"])
 
 
-def without_copies(sets: list[np.ndarray], y: np.ndarray, frequency: np.ndarray) -> list[int]:
+def without_copies(sets: list[np.ndarray], y: np.ndarray) -> list[int]:
     """The rows that are not near copies of a row of the same label that is kept before them.
 
-    ``sets``: the places of each row's terms; ``frequency``: how many rows have each term.
-    The rarest terms of a set, all but 0.8 of it and one more, are its keys: two sets that are
-    0.8 similar share one, so no near copy is missed, and whole sets decide about those that share one.
+    ``sets``: the places of each row's terms.  Bitmaps bound from above what two sets
+    share; whole sets decide where the bounds allow a near copy.  Each row is held against all kept rows
+    at once, so rows that share their rare terms cost no more than others.
     """
     over, under = NEAR
-    rank = np.empty(len(frequency), np.int64)
-    rank[np.argsort(frequency, kind="stable")] = np.arange(len(frequency))
-    met: dict[tuple, list[int]] = {}
-    keep, inside = [], np.zeros(len(frequency), bool)
+    size, y = np.array([len(s) for s in sets], np.int64), np.asarray(y)
+    bitmaps = [_bitmaps(sets, bits) for bits in BITMAPS]
+    kept, keep = np.zeros(len(sets), np.int64), 0
+    coarse = np.zeros_like(bitmaps[0])  # of the kept rows, together in memory
+    inside = np.zeros(1 + max((int(s.max()) for s in sets if len(s)), default=0), bool)
     for i, s in enumerate(sets):
-        n, label = len(s), y[i]
-        first = np.sort(rank[s])[: n - -(-over * n // under) + 1].tolist() if n else [-1]
-        rows = {j for k in first for j in met.get((label, k), ()) if under * min(n, len(sets[j])) >= over * max(n, len(sets[j]))}
+        n = size[i]
+        missing = np.bitwise_count(bitmaps[0][i] & ~coarse[:keep]).sum(axis=1, dtype=np.int64)  # at least
+        rows = kept[:keep][under * (n - missing) >= over * n]  # a near copy holds 0.8 of the set
+        rows = rows[(y[rows] == y[i]) & (under * np.minimum(size[rows], n) >= over * np.maximum(size[rows], n))]
+        for bitmap in bitmaps:
+            mine, theirs = bitmap[i], bitmap[rows]
+            missing = np.bitwise_count(mine & ~theirs).sum(axis=1, dtype=np.int64)
+            surplus = np.bitwise_count(theirs & ~mine).sum(axis=1, dtype=np.int64)
+            common = np.minimum(n - missing, size[rows] - surplus)  # at most
+            rows = rows[(over + under) * common >= over * (n + size[rows])]
         inside[s] = True
-        common = {j: int(np.count_nonzero(inside[sets[j]])) for j in rows}
+        common = np.array([np.count_nonzero(inside[sets[j]]) for j in rows.tolist()], np.int64)
         inside[s] = False
-        if any(under * c >= over * (n + len(sets[j]) - c) for j, c in common.items()):
-            continue
-        keep.append(i)
-        for k in first:
-            met.setdefault((label, k), []).append(i)
-    return keep
+        if not (under * common >= over * (n + size[rows] - common)).any():
+            kept[keep], coarse[keep] = i, bitmaps[0][i]
+            keep += 1
+    return kept[:keep].tolist()
+
+
+def _bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    out = np.zeros((len(sets), bits // 64), np.uint64)
+    for i, s in enumerate(sets):
+        at = mix64(s) % np.uint64(bits)
+        np.bitwise_or.at(out[i], (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return out
 
 
 def labelled_sample(
@@ -139,21 +155,42 @@ def fit(
     factors: int = FACTORS,
     epochs: int = EPOCHS,
 ) -> FactorizationMachine:
+    """Learn in one task: the sample is bounded, and only the model comes to the driver."""
     rows = labelled_sample(docs, labels, label_col, sample, id_col, text_col)
-    found = map_arrow(rows, _features, "at long, key string, y double, terms binary").toArrow()  # at most ``sample`` rows
-    found = found.sort_by([("at", "ascending"), ("key", "ascending")])
+    found = map_arrow(rows, _features, "at long, key string, y double, terms binary")
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y, sets = [], []
+        for batch in batches:
+            y += batch.column(2).to_pylist()
+            sets += [np.frombuffer(raw, np.uint64) for raw in batch.column(3).to_pylist()]
+        m = learned(sets, np.array(y), most_terms, factors, epochs)
+        parts = [[m.bias]] + [[x.tobytes()] for x in (m.terms, m.weight, m.factor)]
+        yield pa.RecordBatch.from_arrays([pa.array(p) for p in parts], names=["bias", "terms", "weight", "factor"])
+
+    # At most ``sample`` rows, in an order that does not depend on how they were dealt to tasks.
+    one = found.repartition(1).sortWithinPartitions("at", "key").mapInArrow(learn, "bias double, terms binary, weight binary, factor binary")
+    row = one.first()
+    if row is None:  # no task runs on an empty sample
+        return learned([], np.zeros(0), most_terms, factors, epochs)
+    terms, weight, factor = (np.frombuffer(bytes(row[c]), k) for c, k in (("terms", np.uint64), ("weight", float), ("factor", float)))
+    return FactorizationMachine(terms, row["bias"], weight, factor.reshape(len(terms), factors))
+
+
+def learned(sets: list[np.ndarray], y: np.ndarray, most_terms: int, factors: int, epochs: int) -> FactorizationMachine:
+    """The model of rows with these sets of hashes and labels, near copies counted once."""
     nothing = np.zeros(0, np.uint64)
-    y = found.column("y").to_numpy()
-    sets = [np.frombuffer(raw, np.uint64) for raw in found.column("terms").to_pylist()]
-    terms, at, docs_ = np.unique(np.concatenate([nothing, *sets]), return_inverse=True, return_counts=True)
-    keep = without_copies(np.split(at, np.cumsum([len(s) for s in sets])[:-1]) if sets else [], y, docs_)
-    y, sets = y[keep], [sets[i] for i in keep]
+    terms, at = np.unique(np.concatenate([nothing, *sets]), return_inverse=True)
+    places = np.split(at, np.cumsum([len(s) for s in sets])[:-1]) if sets else []
+    keep = without_copies(places, y)
+    y, places = y[keep], [places[i] for i in keep]
     share = float(y.mean()) if len(y) else 0.0
     if share in (0.0, 1.0):
         bias = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
         return FactorizationMachine(nothing, bias, np.zeros(0), np.zeros((0, factors)))
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    terms, at, docs_ = np.unique(np.concatenate([nothing, *sets]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(places)), [len(s) for s in places])
+    at = np.concatenate(places)
+    docs_ = np.bincount(at, minlength=len(terms))
     hits = np.bincount(at, y[row], len(terms))
     expected = docs_ * share
     odd = np.abs(hits - expected) / np.sqrt(np.maximum(expected * (1 - share), 1e-9))
