@@ -1,5 +1,5 @@
 from .control import read_watermark, seed_watermark, upsert_watermark, with_zone
-from .history import apply_history, changed_members, has_changes, member_changes, resolve_inferred
+from .history import apply_history, changed_members, member_changes, resolve_inferred
 from .lookup import Lookup, inferred_members, lookup_key, lookup_keys, missing_members
 from .members import conform, except_distinct, insert_new, one_per_key, rows_not_in
 from .numbering import assign_keys, max_key, number_in_groups, ordered_index
@@ -15,7 +15,6 @@ __all__ = [
     "conform",
     "distinct_values",
     "except_distinct",
-    "has_changes",
     "hot_keys",
     "inferred_members",
     "insert_new",

@@ -89,22 +89,6 @@ def changed_members(
     )
 
 
-def has_changes(
-    dest: DataFrame,
-    staging: DataFrame,
-    alt_key: str,
-    key: str,
-    tracked: str | Sequence[str],
-    expiry: str = "ExpirationDate",
-    inferred: str | None = None,
-    latest: str | Sequence[str] = (),
-    limits: Limits = DEFAULT,
-) -> bool:
-    """Would ``apply_history`` change anything?  Spares the rewrite of a table that stays as it is."""
-    both = _matched(dest, staging, alt_key, key, as_list(tracked), expiry, inferred, latest, limits)
-    return not both.filter("_expire OR _resolve").isEmpty()
-
-
 def apply_history(
     dest: DataFrame,
     staging: DataFrame,

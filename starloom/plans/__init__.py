@@ -7,7 +7,7 @@ from .dimensions import (
     promotion_dimension,
     territory_dimension,
 )
-from .sales import fact_rows, new_fact_rows, stage_sales
+from .sales import fact_rows, new_fact_rows, order_month, stage_sales, within_months
 from .warehouse import Files, Warehouse
 
 __all__ = [
@@ -21,8 +21,10 @@ __all__ = [
     "load_calendar",
     "missing_days",
     "new_fact_rows",
+    "order_month",
     "product_dimension",
     "promotion_dimension",
     "stage_sales",
     "territory_dimension",
+    "within_months",
 ]

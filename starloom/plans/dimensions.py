@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import blank_tokens, in_window, typed_null
 from ..limits import DEFAULT, Limits
-from ..operators.skew import skew_join
+from ..operators.skew import is_small, skew_join
+from ..scratch import materialize
 
 # Source column -> promotion attribute.
 PROMOTION_COLUMNS = {
@@ -133,6 +134,15 @@ def employee_dimension(
     return _unkeyed(_versioned(columns, run_ts), "EmployeeKey")
 
 
+def changed_people(person: DataFrame, email_address: DataFrame, low) -> DataFrame:
+    """Keys of people whose person or e-mail row was modified after ``low``.
+
+    Each table is filtered on its own date, so the filter reaches its scan; a filter on the joined rows would not.
+    """
+    keys = [df.filter(F.col("ModifiedDate") > F.lit(low)).select("BusinessEntityID") for df in (person, email_address)]
+    return keys[0].unionByName(keys[1]).filter("BusinessEntityID is not null").distinct()
+
+
 def customer_dimension(
     customer: DataFrame,
     person: DataFrame,
@@ -146,11 +156,15 @@ def customer_dimension(
     """Customers whose person or e-mail row was modified in the window after ``low`` up to ``high``.
 
     A customer without a person row is left out; facts bring it in as an inferred member.
+    Where few people changed, proven by the size of their keys, only their rows enter the joins.
     """
+    touched = materialize(changed_people(person, email_address, low), "changed_people")
+    few = is_small(touched, limits)
+    only = lambda df: skew_join(df, touched, "BusinessEntityID", "left_semi", limits, small=True) if few else df
     buyers = customer.select(F.col("CustomerID").alias("CustomerAK"), F.col("PersonID").alias("BusinessEntityID"))
     people = person.select("BusinessEntityID", *_NAMES, F.col("ModifiedDate").alias("_person_changed"))
-    named = skew_join(buyers, people, "BusinessEntityID", "inner", limits)
-    mailed = skew_join(named, _email(email_address), "BusinessEntityID", "left", limits)
+    named = skew_join(only(buyers), only(people), "BusinessEntityID", "inner", limits)
+    mailed = skew_join(named, only(_email(email_address)), "BusinessEntityID", "left", limits)
     recent = mailed.filter(in_window([F.col("_email_changed"), F.col("_person_changed")], low, high, strict))
     columns = recent.drop("BusinessEntityID", "_email_changed", "_person_changed")
     flagged = _versioned(columns, run_ts).withColumn("Inferred", F.lit(0).cast("tinyint"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import calendar_key, share_of
 from ..limits import DEFAULT, Limits
@@ -12,6 +12,7 @@ from ..operators.lookup import Lookup, lookup_keys
 from ..operators.members import rows_not_in
 from ..operators.numbering import number_in_groups
 from ..operators.skew import is_small, skew_join
+from ..sources.schemas import ORDER_MONTH
 
 
 def stage_sales(
@@ -95,6 +96,21 @@ def stage_sales(
     )
 
 
+def order_month(date_key: Column) -> Column:
+    """The month of a calendar key, by which facts are partitioned; 0 where there is no date."""
+    return F.coalesce((date_key / 100).cast("int"), F.lit(0))
+
+
+def within_months(facts: DataFrame, staging: DataFrame, date_key: Column) -> DataFrame:
+    """The facts of the months that staged orders lie in: other partitions are not read.
+
+    One row comes to the driver, so the bounds are literals of the plan.
+    """
+    month = order_month(date_key)
+    low, high = staging.agg(F.min(month), F.max(month)).first()
+    return facts.filter(F.col(ORDER_MONTH).between(low or 0, high or 0))
+
+
 def new_fact_rows(
     staging: DataFrame, fact: DataFrame, key: str | Sequence[str] = "SalesOrderNumber", limits: Limits = DEFAULT
 ) -> DataFrame:

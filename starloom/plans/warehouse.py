@@ -8,19 +8,21 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions import calendar_key
 from ..limits import DEFAULT, Limits
 from ..operators import control
 from ..operators.history import apply_history, member_changes
 from ..operators.lookup import inferred_members
 from ..operators.members import insert_new, one_per_key
 from ..operators.skew import as_list
-from ..scratch import materialize
+from ..scratch import materialize, scratch_folder
+from ..sinks import batches
 from ..sinks.tables import append_table, create_tables, rewrite_table, write_staging
-from ..sources.freshness import is_built_from, manifest, manifest_path
+from ..sources.freshness import is_built_from, manifest, mark_built
 from ..sources.scans import scan_parquet, scan_source
-from ..sources.schemas import SOURCE_TABLES, STAGING_SOURCES
+from ..sources.schemas import BATCHED_TABLES, ORDER_MONTH, SOURCE_TABLES, STAGING_SOURCES, VERSIONED_TABLES, WAREHOUSE_TABLES
 from . import dimensions, sales
 from .calendar import load_calendar
 
@@ -47,8 +49,10 @@ class Files:
 class Warehouse:
     """Names of the tables of one warehouse, and the steps that load them.
 
-    Every step reads what earlier steps stored and appends or swaps whole
-    tables, so a run that stopped half-way is simply run again.
+    Every step reads what earlier steps stored, so a run that stopped half-way is simply run
+    again.  Facts are partitioned by batch and order month; a batch is seen only when all of it is
+    stored.  Dimensions with history keep current and closed versions apart, and a change writes
+    the current ones and those it closes (see ``sinks.batches``).
 
     With ``files``, staging sets are kept, and one is rebuilt only if it is
     missing, its source files are not those it was built from, or it was built for
@@ -64,13 +68,20 @@ class Warehouse:
         latest: Mapping[str, Sequence[str]] | None = None,
         reject: bool = False,
         number_all_lines: bool = False,
+        moving_dates: bool = False,
+        keep: int = 2,
     ):
         """``latest`` names, per dimension table, the staged columns that decide between rows of one
         member; with ``reject`` a member that is staged twice raises instead.  ``number_all_lines`` gives
         lines without a product their numbers too, so a product that arrives later shifts none: to be set
-        from the first load on where facts are compared line by line."""
+        from the first load on where facts are compared line by line.
+
+        An order keeps its date, so incoming orders are compared with the facts of their own months only;
+        ``moving_dates`` compares them with all facts.  ``keep`` is the number of versions of a rewritten table
+        that stay, the one in use included."""
         self.spark, self.database, self.limits, self.files = spark, database, limits, files
         self.latest, self.reject, self.number_all_lines = latest or {}, reject, number_all_lines
+        self.moving_dates, self.keep = moving_dates, keep
 
     def sources(self) -> dict[str, DataFrame]:
         """The declared source tables as scans of the source folder; absent optional ones are empty."""
@@ -93,17 +104,39 @@ class Warehouse:
         if is_built_from(self.spark, path, now):
             return scan_parquet(self.spark, path)
         staged = write_staging(build(), path)
-        now.write.mode("overwrite").parquet(manifest_path(path))
+        mark_built(path, now)
         return staged
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
     def table(self, table: str) -> DataFrame:
+        """The rows of a table that are committed, without the columns it is partitioned by."""
+        if table in VERSIONED_TABLES:
+            return batches.versions(self.spark, self.name(table))
+        if table in BATCHED_TABLES:
+            return batches.committed(self.spark, self.name(table)).drop(batches.BATCH, BATCHED_TABLES[table])
         return self.spark.table(self.name(table))
 
+    def current(self, table: str, last: int | None = None) -> DataFrame:
+        """The current members of a dimension; closed versions are not read."""
+        if table in VERSIONED_TABLES:
+            return batches.current_versions(self.spark, self.name(table), last)
+        return self.table(table)
+
+    def add(self, table: str, members: DataFrame, last: int | None = None) -> None:
+        if table in VERSIONED_TABLES:
+            batches.add_members(members, self.name(table), last)
+        else:
+            append_table(members, self.name(table))
+
     def create(self, location: str | None = None) -> Warehouse:
-        create_tables(self.spark, self.database, location=location)
+        plain = {t: c for t, c in WAREHOUSE_TABLES.items() if t not in BATCHED_TABLES and t not in VERSIONED_TABLES}
+        create_tables(self.spark, self.database, plain, location)
+        for t, month in BATCHED_TABLES.items():
+            batches.create_batched(self.spark, self.name(t), WAREHOUSE_TABLES[t], month, "INT")
+        for t in VERSIONED_TABLES:
+            batches.create_versioned(self.spark, self.name(t), WAREHOUSE_TABLES[t])
         append_table(control.seed_watermark(self.table("DataFlow"), CUSTOMER_FLOW), self.name("DataFlow"))
         return self
 
@@ -117,18 +150,21 @@ class Warehouse:
         run_ts: datetime | None = None,
         inferred: str | None = None,
     ) -> None:
-        """Append new members; with ``tracked``, then rewrite the table if known members changed."""
+        """Append new members; with ``tracked``, then rewrite the current versions if known members changed."""
         name, latest = self.name(table), self.latest.get(table, ())
+        last = batches.last_batch(self.spark, name) if table in VERSIONED_TABLES else None
         if self.reject:
             one_per_key(staging.filter(F.col(alt_key).isNotNull()), alt_key, reject=True)
-        append_table(insert_new(staging, self.table(table), alt_key, key, latest, self.limits), name)
+        self.add(table, insert_new(staging, self.current(table, last), alt_key, key, latest, self.limits), last)
         if not tracked:
             return
         options = {"inferred": inferred, "latest": latest, "limits": self.limits}
-        dest = self.table(table)
+        # Every member has a current version, and the largest key is that of one: closed versions are not needed.
+        dest = self.current(table, last)
         changes = member_changes(dest, staging, alt_key, key, tracked, **options)
         if not changes.isEmpty():
-            rewrite_table(apply_history(dest, staging, alt_key, key, tracked, run_ts, changes=changes, **options), name)
+            rows = apply_history(dest, staging, alt_key, key, tracked, run_ts, changes=changes, **options)
+            batches.write_versions(rows, name, "ExpirationDate", run_ts, self.keep, last)
 
     def load_dimensions(self, src: Mapping[str, DataFrame], run_ts: datetime) -> None:
         self._together(*self._dimension_loads(src, run_ts))
@@ -181,7 +217,12 @@ class Warehouse:
         # The set holds the rows of one window only, so it serves no other: else rows would be lost for good.
         staged = self.stage("customer", build, keep=True, tag=f"{low}|{run_ts}|{strict}")
         self.merge("DimCustomer", staged, "CustomerAK", "CustomerKey", "EmailAddress", run_ts, "Inferred")
-        rewrite_table(control.upsert_watermark(self.table("DataFlow"), CUSTOMER_FLOW, run_ts), flow)
+        rewrite_table(control.upsert_watermark(self.table("DataFlow"), CUSTOMER_FLOW, run_ts), flow, self.keep)
+
+    def facts_of(self, staged: DataFrame, date_key: Column) -> DataFrame:
+        """The committed facts that staged orders may be among: those of their months, as an order keeps its date."""
+        facts = batches.committed(self.spark, self.name("FactSales"))
+        return facts if self.moving_dates else sales.within_months(facts, staged, date_key)
 
     def load_facts(
         self,
@@ -191,7 +232,7 @@ class Warehouse:
         unknown_key: int | None = None,
     ) -> None:
         """Append the staged lines whose ``key`` is not in the fact table yet."""
-        new = sales.new_fact_rows(staged, self.table("FactSales"), key, self.limits)
+        new = sales.new_fact_rows(staged, self.facts_of(staged, F.col("OrderDateKey")), key, self.limits)
         self._append_facts(materialize(new, "new-facts"), run_ts, unknown_key)
 
     def new_lines(
@@ -210,9 +251,8 @@ class Warehouse:
         def build():
             header = src["SalesOrderHeader"]
             if whole_orders:
-                header = materialize(
-                    sales.new_fact_rows(header, self.table("FactSales"), ORDER, self.limits), "new-orders"
-                )
+                facts = self.facts_of(header, calendar_key(F.col("OrderDate")))
+                header = materialize(sales.new_fact_rows(header, facts, ORDER, self.limits), "new-orders")
             return sales.stage_sales(
                 header, src["SalesOrderDetail"], src["Product"], line_order, whole_orders, self.limits,
                 self.number_all_lines,
@@ -222,20 +262,18 @@ class Warehouse:
         if self.files is None and whole_orders:
             return materialize(staged, "new-facts")
         # A kept staging set may be older than the fact table.
-        return materialize(sales.new_fact_rows(staged, self.table("FactSales"), key, self.limits), "new-facts")
+        facts = self.facts_of(staged, F.col("OrderDateKey"))
+        return materialize(sales.new_fact_rows(staged, facts, key, self.limits), "new-facts")
 
     def _append_facts(self, lines: DataFrame, run_ts: datetime, unknown_key: int | None = None) -> None:
         """Look up the keys of stored new lines; customers nobody has heard of are entered first."""
-        append_table(
-            inferred_members(
-                lines, self.table("DimCustomer"), "CustomerAK", "CustomerKey", run_ts, limits=self.limits
-            ),
-            self.name("DimCustomer"),
-        )
+        last = batches.last_batch(self.spark, self.name("DimCustomer"))
+        known = self.current("DimCustomer", last)
+        self.add("DimCustomer", inferred_members(lines, known, "CustomerAK", "CustomerKey", run_ts, limits=self.limits), last)
         rows = sales.fact_rows(
             lines,
-            self.table("DimCustomer"),
-            self.table("DimEmployee"),
+            self.current("DimCustomer", last),
+            self.current("DimEmployee"),
             self.table("DimPromotion"),
             self.table("DimProduct"),
             self.table("DimGeography"),
@@ -243,7 +281,8 @@ class Warehouse:
             unknown_key,
             self.limits,
         )
-        append_table(rows, self.name("FactSales"))
+        rows = rows.withColumn(ORDER_MONTH, sales.order_month(F.col("OrderDateKey")))
+        batches.append_batch(rows, self.name("FactSales"), run_ts)
 
     def run(
         self,
@@ -260,13 +299,14 @@ class Warehouse:
         ``src`` names the source tables; None stands for those below the source folder.
         """
         src = self.sources() if src is None else src
-        *_, lines = self._together(
-            *self._dimension_loads(src, run_ts),
-            lambda: self.load_customers(src, run_ts, strict),
-            lambda: load_calendar(self.name("DimDate"), *calendar, self.spark),
-            lambda: self.new_lines(src, line_order, fact_key),
-        )
-        self._append_facts(lines, run_ts, unknown_key)
+        with scratch_folder(self.spark, "load"):
+            *_, lines = self._together(
+                *self._dimension_loads(src, run_ts),
+                lambda: self.load_customers(src, run_ts, strict),
+                lambda: load_calendar(self.name("DimDate"), *calendar, self.spark),
+                lambda: self.new_lines(src, line_order, fact_key),
+            )
+            self._append_facts(lines, run_ts, unknown_key)
 
     def row_counts(self, *tables: str) -> DataFrame:
         """Rows per table: one small frame to look at after a run."""

@@ -213,9 +213,25 @@ ORACLES: dict[str, str] = {
     "sink_roundtrip": "select * from orders",
     "sink_append": "select c_custkey ak, c_name name, c_mktsegment segment from customer",
     "sink_rewrite": "select c_custkey ak, lower(c_mktsegment) segment from customer",
+    "scan_rejects": """
+select c_custkey, case when c_nationkey not in (3, 5) and c_acctbal >= 0 then round(c_acctbal)::bigint end balance,
+       case when c_nationkey = 3 then 'short' when c_nationkey = 5 then 'long' when c_acctbal < 0 then 'mistyped' else 'kept' end outcome
+from customer""",
     "describe_table": """
-select column_name col_name, case column_type when 'INTEGER' then 'int' when 'VARCHAR' then 'string' else lower(column_type) end data_type
-from (describe nation) union all select 'Provider', 'parquet'""",
+select column_name col_name, case column_type when 'INTEGER' then 'int' when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz'
+       else lower(column_type) end data_type
+from (describe orders) union all select 'Provider', 'parquet' union all select 'Statistics', count(*)::varchar from orders""",
+    "landed_files": """
+select o_orderkey, round(o_totalprice * 100)::bigint + case when o_orderpriority like '1%' then 1 else 0 end cents,
+       case when o_orderpriority like '1%' then 2 else 1 end run
+from orders where o_orderpriority not like '5%'""",
+    "sink_batches": """
+select l_orderkey, l_linenumber, l_partkey, (year(l_shipdate) * 100 + month(l_shipdate))::int "month",
+       (case when l_shipdate < timestamp '1997-01-01 00:00:00' then 1 else 2 end)::bigint batch
+from lineitem""",
+    "anti_new_months": """
+select o_orderkey, o_custkey, strftime(o_orderdate, '%Y%m%d')::int "day" from orders
+where o_orderdate >= timestamp '1998-01-01 00:00:00'""",
     "changed_sources": """
 select 'customer' staging, false rebuild, count(*) n_rows from customer union all select 'orders', true, count(*) from orders""",
     "dim_geography": """
@@ -374,4 +390,7 @@ union all select 'view_daily', null""",
     "star_load": _STAR,
     "star_reload": _STAR_COUNTS,
     "star_incremental": _INCREMENTAL,
+    "star_from_files": _INCREMENTAL,
+    "star_optional_source": f'select * replace (null::bigint as "PromotionKey") from ({_STAR})',
 }
+ORACLES["history_partitions"] = ORACLES["scd2_apply"]

@@ -13,7 +13,7 @@ from .. import operators as ops, plans, sinks, sources
 from ..functions import blank_tokens, calendar_key
 from ..limits import DEFAULT
 from ..scratch import scratch_path
-from .retail import LINE_ORDER, Retail, ntz
+from .retail import LINE_ORDER, ORDERS_LOADED_UNTIL, Retail, ntz
 
 WINDOW = (datetime(2024, 1, 28), datetime(2024, 1, 30))
 RUN = datetime(2024, 2, 1)
@@ -81,27 +81,51 @@ def sink_rewrite(r: Retail) -> DataFrame:
     return r.spark.table(name)
 
 
+@query
+def scan_rejects(r: Retail) -> DataFrame:
+    """Customers as text with records that are cut off, too long or mistyped: what fits, and why the rest does not."""
+    c = {n: F.coalesce(F.col(n).cast("string"), F.lit("")) for n in ("c_custkey", "c_name", "c_nationkey")}
+    balance = F.when(F.col("c_acctbal") < 0, "owing").otherwise(F.round("c_acctbal").cast("long").cast("string"))
+    whole = F.concat_ws("\t", c["c_custkey"], c["c_name"], c["c_nationkey"], balance)
+    record = (
+        F.when(F.col("c_nationkey") == 3, F.concat_ws("\t", c["c_custkey"], c["c_name"]))
+        .when(F.col("c_nationkey") == 5, F.concat_ws("\t", whole, F.lit("more")))
+        .otherwise(whole)
+    )
+    path = scratch_path(r.spark, "records")
+    r.table("customer").select(record.alias("value")).write.text(path)
+    good, bad = sources.scan_checked(r.spark, path, "c_custkey BIGINT, c_name STRING, c_nationkey INT, balance BIGINT")
+    kept = good.select("c_custkey", "balance", F.lit("kept").alias("outcome"))
+    key = F.split("record", "\t")[0].cast("long")
+    return kept.unionByName(bad.select(key.alias("c_custkey"), F.lit(None).cast("long").alias("balance"), F.col("reason").alias("outcome")))
+
+
 @query
 def describe_table(r: Retail) -> DataFrame:
-    """Columns, types and format of a table that holds the nations."""
+    """Columns, types, format and number of rows of a table that holds the orders."""
     database, where = _fresh_database(r.spark)
-    name, nations = f"{database}.nations", r.table("nation")
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nations.schema)
-    sinks.create_tables(r.spark, database, {"nations": columns}, where)
-    sinks.append_table(nations, name)
-    told = sinks.describe_table(r.spark, name)
-    return told.filter(F.col("col_name").isin(*nations.columns, "Provider")).select("col_name", F.lower("data_type").alias("data_type"))
+    name, orders = f"{database}.placed", r.table("orders")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in orders.schema)
+    sinks.create_tables(r.spark, database, {"placed": columns}, where)
+    sinks.append_table(orders, name)
+    r.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+    told = sinks.describe_table(r.spark, name).filter(F.col("col_name").isin(*orders.columns, "Provider", "Statistics"))
+    rows = F.regexp_extract("data_type", r"(\d+) rows", 1)
+    return told.select("col_name", F.when(F.col("col_name") == "Statistics", rows).otherwise(F.lower("data_type")).alias("data_type"))
 
 
 @query
 def changed_sources(r: Retail) -> DataFrame:
-    """A staging set written just now is up to date and serves again; one that was never written is built.
+    """A staging set built from the files that are there serves again; one that was never built is built.
 
     Per set: what the gate said, and the rows that the set then holds.
     """
-    paths = {"customer": scratch_path(r.spark, "customer"), "orders": scratch_path(r.spark, "orders")}
+    paths = {t: scratch_path(r.spark, t) for t in ("customer", "orders")}
+    files = {t: [f"{r.folder}/{t}.parquet"] for t in paths}
+    now = sources.manifest(r.spark, files["customer"])
     sinks.write_staging(r.table("customer"), paths["customer"])
-    said = sources.changed_sources(r.spark, {t: (p, [f"{r.folder}/{t}.parquet"]) for t, p in paths.items()})
+    sources.mark_built(paths["customer"], now)
+    said = sources.changed_sources(r.spark, {t: (paths[t], files[t]) for t in paths})
     sets = []
     for row in said.select("staging", "rebuild").collect():  # one row per set
         path = paths[row["staging"]]
@@ -110,6 +134,46 @@ def changed_sources(r: Retail) -> DataFrame:
     return sets[0].unionByName(sets[1])
 
 
+@query
+def landed_files(r: Retail) -> DataFrame:
+    """Orders exported to a folder per priority and landed; then one folder is exported anew and one is gone.
+
+    Per order: its price and the run that read it.  The second run reads the folder that changed and no other.
+    """
+    folder, landed = scratch_path(r.spark, "exports"), scratch_path(r.spark, "landed")
+    orders = r.table("orders").select("o_orderkey", (F.round(F.col("o_totalprice") * 100)).cast("long").alias("cents"), "o_orderpriority")
+    level = F.substring("o_orderpriority", 1, 1)
+
+    def export(rows: DataFrame, mode: str) -> None:
+        place = rows.select("o_orderkey", "cents", level.alias("level")).write.mode("overwrite").option("partitionOverwriteMode", mode)
+        place.option("sep", "\t").partitionBy("level").csv(folder)
+
+    def scan(paths: list[str]) -> DataFrame:
+        return sources.scan_delimited(r.spark, paths, "o_orderkey BIGINT, cents BIGINT", recursiveFileLookup="true")
+
+    export(orders, "static")
+    sources.land(r.spark, [folder], landed, scan, EARLY_RUN)
+    export(orders.filter(level == "1").withColumn("cents", F.col("cents") + 1), "dynamic")
+    rows, _ = sources.land(r.spark, [f"{folder}/level={n}" for n in (1, 2, 3, 4)], landed, scan, RUN)
+    return rows.select("o_orderkey", "cents", F.when(F.col("_landed_at") == F.lit(RUN), 2).otherwise(1).alias("run"))
+
+
+@query
+def sink_batches(r: Retail) -> DataFrame:
+    """Order lines appended in two batches by month; the first try of the second died after it had stored some lines."""
+    database, where = _fresh_database(r.spark)
+    r.spark.sql(f"CREATE SCHEMA {database} LOCATION '{where}'")
+    table = f"{database}.lines"
+    sinks.create_batched(r.spark, table, "l_orderkey BIGINT, l_linenumber BIGINT, l_partkey BIGINT", "month", "INT")
+    month = (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("month")
+    lines = r.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", month)
+    early = F.col("month") < 199701
+    sinks.append_batch(lines.filter(early), table, EARLY_RUN)
+    sinks.write_batch(lines.filter(F.col("l_linenumber") < 3), table, 2)  # never committed
+    sinks.append_batch(lines.filter(~early), table, RUN)
+    return sinks.committed(r.spark, table).withColumnRenamed("LoadBatch", "batch")
+
+
 # -- dimensions ------------------------------------------------------------------
 
 
@@ -282,6 +346,21 @@ def anti_new_lines(r: Retail) -> DataFrame:
     return ops.rows_not_in(lines, r.loaded_lines(), ["l_orderkey", "l_linenumber"])
 
 
+@query
+def anti_new_months(r: Retail) -> DataFrame:
+    """Orders placed since July 1997 that are not in the fact table, which is read for their months only."""
+    database, where = _fresh_database(r.spark)
+    r.spark.sql(f"CREATE SCHEMA {database} LOCATION '{where}'")
+    table = f"{database}.facts"
+    sinks.create_batched(r.spark, table, "o_orderkey BIGINT, o_custkey BIGINT", sources.ORDER_MONTH, "INT")
+    orders = r.table("orders").withColumn("day", calendar_key(F.col("o_orderdate")))
+    loaded = orders.filter(F.col("o_orderdate") < ntz(ORDERS_LOADED_UNTIL))
+    sinks.append_batch(loaded.withColumn(sources.ORDER_MONTH, plans.order_month(F.col("day"))), table, EARLY_RUN)
+    incoming = orders.filter("day >= 19970701").select("o_orderkey", "o_custkey", "day")
+    facts = plans.within_months(sinks.committed(r.spark, table), incoming, F.col("day"))
+    return ops.rows_not_in(incoming, facts, "o_orderkey")
+
+
 # -- lookups and inferred members ------------------------------------------------------
 
 
@@ -382,6 +461,23 @@ def scd2_apply(r: Retail) -> DataFrame:
     )
 
 
+@query
+def history_partitions(r: Retail) -> DataFrame:
+    """The same change as in ``scd2_apply``, on a table that keeps current and closed versions apart."""
+    database, where = _fresh_database(r.spark)
+    r.spark.sql(f"CREATE SCHEMA {database} LOCATION '{where}'")
+    table = f"{database}.status"
+    kind = r.table("orders").schema["o_orderdate"].dataType.simpleString()
+    sinks.create_versioned(r.spark, table, f"k BIGINT, ak BIGINT, status STRING, loaded {kind}, expired {kind}")
+    sinks.write_versions(r.status_history(), table, "expired", EARLY_RUN)
+    current = sinks.current_versions(r.spark, table)
+    after = ops.apply_history(
+        current, r.latest_status(), "ak", "k", "status", ntz(RUN), expiry="expired", load_date="loaded"
+    )
+    sinks.write_versions(after, table, "expired", RUN)
+    return sinks.versions(r.spark, table)
+
+
 @query
 def fact_load(r: Retail) -> DataFrame:
     """Lines of new orders with customer, product and - in two roles - address keys."""
@@ -476,3 +572,53 @@ def star_incremental(r: Retail) -> DataFrame:
     return warehouse.table("DimCustomer").select(
         "CustomerKey", "CustomerAK", "FirstName", "EmailAddress", F.col("Inferred").cast("int").alias("Inferred")
     )
+
+
+def _export(r: Retail, folder: str, src: dict[str, DataFrame]) -> None:
+    """The source tables as headerless tab-separated files in their declared layout; ids the layout has no place for are NULL."""
+    for name, rows in src.items():
+        have = set(rows.columns)
+        cells = [
+            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in sources.schema_of(name)
+        ]
+        rows.select(*cells).write.mode("overwrite").option("sep", "\t").csv(f"{folder}/{name}.csv")
+
+
+def _numbered(r: Retail) -> dict[str, DataFrame]:
+    """The source tables; order lines have the id by which the layout orders them."""
+    src = r.sources()
+    numbered = ops.number_in_groups(src["SalesOrderDetail"], "SalesOrderID", LINE_ORDER, "SalesOrderDetailID")
+    return {**src, "SalesOrderDetail": numbered}
+
+
+@query
+def star_from_files(r: Retail) -> DataFrame:
+    """``star_incremental`` from exported files: an early run, then newer exports of the orders and a later run.
+
+    The second run builds only the sets again whose files or window changed.
+    """
+    database, where = _fresh_database(r.spark)
+    lake = scratch_path(r.spark, "lake")
+    warehouse = plans.Warehouse(r.spark, database, files=plans.Files(lake, f"{lake}-staging")).create(where)
+    src, span = _numbered(r), _span(r)
+    orders = src["SalesOrderHeader"]
+    _export(r, lake, {**src, "SalesOrderHeader": orders.filter("OrderDate < timestamp_ntz '1996-01-01'")})
+    warehouse.run(None, EARLY_RUN, calendar=span)
+    _export(r, lake, {"SalesOrderHeader": orders})
+    warehouse.run(None, RUN, calendar=span)
+    return warehouse.table("DimCustomer").select(
+        "CustomerKey", "CustomerAK", "FirstName", "EmailAddress", F.col("Inferred").cast("int").alias("Inferred")
+    )
+
+
+@query
+def star_optional_source(r: Retail) -> DataFrame:
+    """The fact table loaded from files without the file of offers, which is declared optional: facts have no promotion."""
+    database, where = _fresh_database(r.spark)
+    lake = scratch_path(r.spark, "lake")
+    files = plans.Files(lake, f"{lake}-staging", optional=["SpecialOffer"])
+    warehouse = plans.Warehouse(r.spark, database, files=files).create(where)
+    _export(r, lake, {name: rows for name, rows in _numbered(r).items() if name != "SpecialOffer"})
+    warehouse.run(None, RUN, calendar=_span(r))
+    return warehouse.table("FactSales")

@@ -9,12 +9,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDER = "starloom.scratch"  # a local property, so threads started for the same run have it too
+
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used before, below the shared scratch folder."""
+    if folder := spark.sparkContext.getLocalProperty(_FOLDER):
+        return f"{folder}/{label}-{uuid.uuid4().hex}"
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not (spark.conf.get("spark.master", "") or "").startswith("local"):
@@ -30,3 +36,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark can write to; it may be absent."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[None]:
+    """Intermediate tables written inside go to one folder, which is removed at the end, whatever happened.
+
+    For work whose results are stored by then: frames that read intermediate tables are void afterwards.
+    Inside another such block the outer folder serves.
+    """
+    context = spark.sparkContext
+    if context.getLocalProperty(_FOLDER):
+        yield
+        return
+    folder = scratch_path(spark, label)
+    context.setLocalProperty(_FOLDER, folder)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(_FOLDER, None)
+        remove_folder(spark, folder)

@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.members import conform
+from ..scratch import remove_folder
 from ..sources.schemas import WAREHOUSE_TABLES
 
 
@@ -46,19 +47,32 @@ def _location(spark, table: str) -> str:
     return dict(details)["Location"].rstrip("/")
 
 
-def rewrite_table(df: DataFrame, table: str) -> None:
+def rewrite_table(df: DataFrame, table: str, keep: int | None = None) -> None:
     """Replace the rows of a table that ``df`` may itself read.
 
     The new rows are written once, to a fresh folder beside the old one; then the
     table is pointed at it.  Until that moment readers see the old rows, and a
-    failed write leaves the table as it was.  Old folders are left to the
-    retention rules of the storage.
+    failed write leaves the table as it was.  Folders of the last ``keep`` rewrites stay, for
+    readers that started earlier; without it, all do.
     """
     spark = df.sparkSession
     current = spark.table(table)
     place = _location(spark, table)
     parent, name = place.rsplit("/", 1)
-    target = f"{parent}/{name.split('__v_')[0]}__v_{uuid.uuid4().hex}"
+    base, _, old = name.partition("__v_")
+    number = int(old.split("_")[0]) if old else 0
+    target = f"{parent}/{base}__v_{number + 1}_{uuid.uuid4().hex}"
     conform(df, current).write.parquet(target)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
     spark.catalog.refreshTable(table)
+    if keep is not None:
+        for folder in _rewrites(spark, parent, base):
+            if int(folder.rsplit("__v_", 1)[1].split("_")[0]) <= number + 1 - max(keep, 1):
+                remove_folder(spark, folder)
+
+
+def _rewrites(spark: SparkSession, parent: str, base: str) -> list[str]:
+    """The folders that rewrites of a table made, those of failed ones included."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{parent}/{base}__v_*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [status.getPath().toString() for status in found or []]

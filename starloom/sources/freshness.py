@@ -1,52 +1,11 @@
-"""Deciding which staging sets are older than the files they come from."""
+"""Deciding which staging sets were built from other files than those that are there now."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-_TIMES = "path string, modificationTime timestamp"
-
-
-def file_times(spark: SparkSession, path: str) -> DataFrame:
-    """Path and modification time of every file below ``path``; no rows if it is absent.
-
-    Spark lists the files; their content is never read.
-    """
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _TIMES)
-    return files.select("path", "modificationTime")
-
-
-def changed_sources(spark: SparkSession, staging: Mapping[str, tuple[str, Sequence[str]]]) -> DataFrame:
-    """For each staging set ``name: (its path, its source paths)``: must it be rebuilt?
-
-    It must if it is missing, or if any of its sources has a file newer than its own newest file.
-    """
-
-    def newest(paths: Sequence[str]) -> DataFrame:
-        files = reduce(DataFrame.unionByName, [file_times(spark, p) for p in paths])
-        return files.agg(F.max("modificationTime"))
-
-    checks = [
-        spark.range(1).select(
-            F.lit(name).alias("staging"),
-            newest([path]).scalar().alias("staged_at"),
-            newest(sources).scalar().alias("source_at"),
-        )
-        for name, (path, sources) in staging.items()
-    ]
-    return reduce(DataFrame.unionByName, checks).withColumn(
-        "rebuild", F.col("staged_at").isNull() | F.coalesce(F.col("source_at") > F.col("staged_at"), F.lit(False))
-    )
-
+from pyspark.sql import DataFrame, SparkSession
 
 def manifest(spark: SparkSession, source_paths: Sequence[str], tag: str = "") -> DataFrame:
     """What a staging set is built from: path, time and length of every source file, and ``tag`` for
@@ -78,5 +37,15 @@ def manifest_path(staged_path: str) -> str:
     return staged_path.rstrip("/") + "__built_from"
 
 
-def needs_rebuild(spark: SparkSession, staged_path: str, source_paths: Sequence[str]) -> bool:
-    return changed_sources(spark, {"staging": (staged_path, source_paths)}).first()["rebuild"]
+def mark_built(staged_path: str, now: DataFrame) -> None:
+    """Keep the manifest a staging set was built from beside it; to be called once the set is stored."""
+    now.write.mode("overwrite").parquet(manifest_path(staged_path))
+
+
+def changed_sources(spark: SparkSession, staging: Mapping[str, tuple[str, Sequence[str]]], tag: str = "") -> DataFrame:
+    """For each staging set ``name: (its path, its source paths)``: must it be rebuilt?
+
+    It must if it was never built, or if its source files are not the very files it was built from.
+    """
+    said = [(name, not is_built_from(spark, path, manifest(spark, paths, tag))) for name, (path, paths) in staging.items()]
+    return spark.createDataFrame(said, "staging string, rebuild boolean")  # one row per set

@@ -101,6 +101,11 @@ WAREHOUSE_TABLES = {
     "DimDate": "date_key INT, date_date DATE, year INT, month INT, day INT, week_of_year INT, day_of_week INT",
 }
 
+# How the tables that grow with history are partitioned beside the number of the batch.
+ORDER_MONTH = "OrderMonth"  # yyyymm, 0 for orders without a date
+BATCHED_TABLES = {"FactSales": ORDER_MONTH}
+VERSIONED_TABLES = {"DimCustomer", "DimEmployee"}
+
 
 def schema_of(table: str) -> StructType:
     """Struct type of a source or warehouse table."""

@@ -10,7 +10,7 @@ from starloom.operators import (
     changed_members,
     conform,
     except_distinct,
-    has_changes,
+    member_changes,
     inferred_members,
     insert_new,
     lookup_key,
@@ -104,8 +104,8 @@ def test_three_changes_keep_every_version(spark, limits):
     ]
     again = apply_history(got, staging, "ak", "k", "mail", T2, inferred="Inferred", limits=limits)
     assert rows(again) == rows(got)
-    assert has_changes(dest, staging, "ak", "k", "mail", inferred="Inferred", limits=limits)
-    assert not has_changes(got, staging, "ak", "k", "mail", inferred="Inferred", limits=limits)
+    assert not member_changes(dest, staging, "ak", "k", "mail", inferred="Inferred", limits=limits).isEmpty()
+    assert member_changes(got, staging, "ak", "k", "mail", inferred="Inferred", limits=limits).isEmpty()
 
 
 def test_changes_from_and_to_null(spark):

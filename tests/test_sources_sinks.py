@@ -54,23 +54,76 @@ def test_ids_written_as_floats_stay_exact(spark, tmp_path):
 
 
 def test_absent_source_is_empty(spark, tmp_path):
-    assert sources.scan_optional(spark, str(tmp_path / "none"), "a INT, b STRING").collect() == []
-    path = str(tmp_path / "some")
-    sinks.write_staging(spark.range(2), path)
-    assert sources.scan_optional(spark, path, "id LONG").count() == 2
+    assert sources.scan_source(spark, str(tmp_path), "Customer", optional=True).collect() == []
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        sources.scan_source(spark, str(tmp_path), "Customer")
 
 
 def test_freshness(spark, tmp_path):
     source, staged = tmp_path / "source", tmp_path / "staged"
     sinks.write_staging(spark.range(1), str(source))
-    assert sources.needs_rebuild(spark, str(staged), [str(source)])
+    sets = {"a": (str(staged), [str(source), str(tmp_path / "absent")])}
+    rebuild = lambda tag="": sources.changed_sources(spark, sets, tag).first()["rebuild"]
+    assert rebuild()
+    now = sources.manifest(spark, sets["a"][1])
     sinks.write_staging(spark.range(1), str(staged))
-    assert not sources.needs_rebuild(spark, str(staged), [str(source), str(tmp_path / "absent")])
+    assert rebuild()  # stored, but not marked: the build may have died
+    sources.mark_built(str(staged), now)
+    assert not rebuild() and rebuild("another window")
     later = time.time() + 60
     for file in source.glob("*.parquet"):
         os.utime(file, (later, later))
-    got = sources.changed_sources(spark, {"a": (str(staged), [str(source)]), "b": (str(source), [str(staged)])})
-    assert rows(got, "staging", "rebuild") == [("a", True), ("b", False)]
+    assert rebuild()
+
+
+def test_checked_scan_splits_off_what_does_not_fit(spark, tmp_path):
+    lines = ["1\tone\t1.5\t1", "x\ttwo\t2.5\t0", "3\tthree", "4\tfour\t4.5\ttrue\tmore", "8\t\t\t", "6\tsix\tmuch\t0", "7\tseven\t7\tperhaps"]
+    (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
+    good, bad = sources.scan_checked(spark, str(tmp_path / "t.csv"), "i INT, s STRING, m DECIMAL(5,2), flag BOOLEAN")
+    assert rows(good) == [(1, "one", Decimal("1.50"), True), (8, None, None, None)]
+    assert {r["record"]: r["reason"] for r in bad.collect()} == {
+        lines[1]: "mistyped", lines[2]: "short", lines[3]: "long", lines[5]: "mistyped", lines[6]: "mistyped",
+    }
+    assert all(r["path"].endswith("t.csv") for r in bad.collect())
+    (tmp_path / "c.csv").write_text("1\t776.0\n2\tabc\n3\t\n")
+    good, bad = sources.scan_checked(spark, str(tmp_path / "c.csv"), "i INT, p INT", float_ids=["p"])
+    assert rows(good) == [(1, 776), (3, None)] and bad.count() == 1
+    (tmp_path / "e.csv").write_text("")
+    assert [f.count() for f in sources.scan_checked(spark, str(tmp_path / "e.csv"), "i INT, p INT")] == [0, 0]
+
+
+def test_landing_reads_only_files_that_changed(spark, tmp_path):
+    folder, landed = tmp_path / "in", str(tmp_path / "landed")
+    folder.mkdir()
+    for n in range(6):
+        (folder / f"{n}.csv").write_text(f"{n}\tfirst\n{n + 10}\tfirst\n")
+    read = []
+
+    def scan(paths):
+        read.append(sorted(p.rsplit("/", 1)[1] for p in paths))
+        return sources.scan_delimited(spark, paths, "id INT, note STRING")
+
+    one, two, three = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
+    got, changes = sources.land(spark, [str(folder)], landed, scan, one)
+    assert got.count() == 12 and rows(changes.groupBy("change").count()) == [("added", 6)]
+    (folder / "2.csv").write_text("2\tsecond, and longer\n")
+    (folder / "4.csv").unlink()
+    (folder / "9.csv").write_text("9\tnew\n")
+    # A run that died before it wrote its list left rows of the changed file; they do not count twice.
+    scan([str(folder / "2.csv")]).selectExpr("*", "timestamp'2024-01-02' _landed_at", "xxhash64(_metadata.file_path, _metadata.file_modification_time, _metadata.file_size) _version").write.mode("append").partitionBy("_version").parquet(landed)
+    read.clear()
+    got, changes = sources.land(spark, [str(folder)], landed, scan, two)
+    assert read[0] == ["2.csv", "9.csv"]
+    assert {r["path"].rsplit("/", 1)[1]: r["change"] for r in changes.collect()} == {"2.csv": "changed", "4.csv": "removed", "9.csv": "added"}
+    assert rows(got.filter(F.col("_landed_at") == two), "id", "note") == [(2, "second, and longer"), (9, "new")]
+    assert got.filter(F.col("_landed_at") == one).count() == 8
+    read.clear()
+    got, changes = sources.land(spark, [str(folder)], landed, scan, three)
+    assert not any(read) and changes.isEmpty() and got.count() == 10
+    for file in folder.glob("*.csv"):
+        file.unlink()
+    got, changes = sources.land(spark, [str(folder), str(tmp_path / "absent")], landed, scan, three)
+    assert got.count() == 0 and rows(changes.groupBy("change").count()) == [("removed", 6)]
 
 
 def test_calendar(spark):
