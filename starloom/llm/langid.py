@@ -3,15 +3,20 @@
 A language is a distribution over hashed byte trigrams, learned from all labelled
 texts by counting.  A text is a mixture of languages: expectation-maximisation
 estimates its proportions from the likelihoods of its trigrams.  Which languages
-are in the mixture is decided by penalised likelihood: a further language must
+are in the mixture is decided by penalised likelihood: languages enter by their weight in
+the fit with all of them, any number of them, and a further language must
 raise the likelihood by more than its parameter costs.  The prediction is
-the language with the largest proportion, and the score is that proportion.
+the language with the largest proportion, and the score is that proportion.  A text in
+one language has the whole proportion; its score is then the posterior probability
+of that language, so a text of a few letters is not called certain.
 
 Counts are summed task by task; the model has one vector per language.
 
 Defined cases: NULL texts and texts without a letter are ``und`` with score 0, as
-are all texts if no language was learned; rows without lang teach nothing;
-an empty table gives no rows; other columns are not looked at.
+are all texts if no language was learned; a text whose letters are no evidence gets the
+language with the largest learned share, and that share; of equal languages the first by name
+counts; texts of any length are looked at whole; rows without lang teach nothing; rows that repeat an
+id are scored each, equal texts alike; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from .words import pieces
 FOLDS, HELD_OUT = 4, 2
 BUCKETS = 4096
 ROUNDS = 8
-MOST_LANGUAGES = 3  # of one text
+LEAST_WEIGHT = 0.02  # a language below this in the fit with all languages is not tried
 UNKNOWN = "und"
 _ROWS = 512
 
@@ -45,16 +50,19 @@ def trigram_counts(texts: pa.Array) -> Iterator[np.ndarray]:
     """Matrices of texts by trigram buckets, for some texts at a time."""
     for piece in pieces(texts, most_rows=_ROWS):
         rows, n = piece.last - piece.first, len(piece.data)
-        if n < 3:
+        if n == 0:
             yield np.zeros((rows, BUCKETS), np.float32)
             continue
-        f = LETTERS[piece.data].astype(np.uint32)
+        # A blank before each text and after the last, so the edges of texts are edges of words.
+        f = np.append(np.insert(LETTERS[piece.data], piece.bounds[:-1], 32), 32).astype(np.uint32)
+        row = np.append(np.repeat(np.arange(rows), np.diff(piece.bounds) + 1), rows)
+        edge = np.zeros(len(f), bool)
+        edge[piece.bounds + np.arange(rows + 1)] = True
         code = (f[:-2] << 16) | (f[1:-1] << 8) | f[2:]
-        row = np.repeat(np.arange(rows), np.diff(piece.bounds))
-        # Within one text, and not two blanks in a row.
-        good = (row[:-2] == row[2:]) & ~((f[1:-1] == 32) & ((f[:-2] == 32) | (f[2:] == 32)))
+        # Around a byte of a text, and not two blanks in a row.
+        good = ~edge[1:-1] & ~((f[1:-1] == 32) & ((f[:-2] == 32) | (f[2:] == 32)))
         bucket = (code[good] * np.uint32(0x9E3779B1)) >> np.uint32(32 - 12)
-        flat = np.bincount(row[:-2][good] * BUCKETS + bucket, minlength=rows * BUCKETS)
+        flat = np.bincount(row[1:-1][good] * BUCKETS + bucket, minlength=rows * BUCKETS)
         yield flat.reshape(rows, BUCKETS).astype(np.float32)
 
 
@@ -62,23 +70,27 @@ def trigram_counts(texts: pa.Array) -> Iterator[np.ndarray]:
 class Languages:
     names: list[str]
     p: np.ndarray  # languages x buckets, probabilities
+    share: np.ndarray  # of all trigrams learned from
 
     def mixtures(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The main language of each row and its proportion."""
         n, k = len(counts), len(self.names)
         total = np.maximum(counts.sum(axis=1), 1)
-        single = counts @ np.log(self.p).T
-        best = single.argmax(axis=1)
-        share = np.ones(n)
+        # Neighbouring trigrams share two of three letters, so they count as a third each.
+        single = (counts @ np.log(self.p).T).astype(np.float64) / 3
+        posterior = single + np.log(self.share)
+        posterior = np.exp(posterior - posterior.max(axis=1, keepdims=True))
+        posterior /= posterior.sum(axis=1, keepdims=True)
+        best = posterior.argmax(axis=1)
+        share = posterior.max(axis=1)
         if k == 1:
             return best, share
         weights = self._fit(counts, np.full((n, k), 1 / k, np.float32), total)
         order = np.argsort(-weights, axis=1, kind="stable")
-        # Neighbouring trigrams share two of three letters, so they count as a third each.
-        value = single.max(axis=1) / 3
+        value = single.max(axis=1)
         penalty = 0.5 * np.log(total + 1)
-        for size in range(2, min(MOST_LANGUAGES, k) + 1):
-            rows = np.flatnonzero(weights[np.arange(n), order[:, size - 1]] > 0.02)
+        for size in range(2, k + 1):
+            rows = np.flatnonzero((weights[np.arange(n), order[:, size - 1]] > LEAST_WEIGHT) & (counts.sum(axis=1) > 0))
             if not len(rows):
                 break
             allowed = np.zeros((len(rows), k), np.float32)
@@ -120,9 +132,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     counts = vector_sums(train.mapInArrow(run, "key string, vector binary"))
     names = sorted(counts)
     if not names:
-        return Languages([], np.zeros((0, BUCKETS), np.float32))
+        return Languages([], np.zeros((0, BUCKETS), np.float32), np.zeros(0))
     table = np.array([counts[n] for n in names]) + 0.5
-    return Languages(names, (table / table.sum(axis=1, keepdims=True)).astype(np.float32))
+    sums = table.sum(axis=1, keepdims=True)
+    return Languages(names, (table / sums).astype(np.float32), sums[:, 0] / sums.sum())
 
 
 def identify(docs: DataFrame, model: Languages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
