@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..limits import DEFAULT, Limits
 from .members import conform, rows_not_in
 from .numbering import assign_keys
-from .skew import are_small, hot_keys, skew_join
+from .skew import HotKeys, are_small, hot_keys, is_hot, skew_join
 
 
 @dataclass(frozen=True)
@@ -22,6 +22,7 @@ class Lookup:
     role_key: str
     dim_key: str | None = None  # default: role_key
     dim_alt_key: str | None = None  # default: fact_key
+    bucketed: bool = False  # ``dim`` is a table bucketed by its alternative key: it is neither broadcast nor shuffled
 
     def pairs(self, expiry: str) -> DataFrame:
         """Alternative key and surrogate of current versions, named as the fact needs them.
@@ -33,6 +34,26 @@ class Lookup:
         return dim.groupBy(key).agg(F.max(self.dim_key or self.role_key).alias(self.role_key))
 
 
+def _spread_lookup(fact: DataFrame, pairs: DataFrame, role: Lookup, hot: HotKeys) -> DataFrame:
+    """The surrogates of one role, with no copy of a dimension row for a task that a hot key is dealt to.
+
+    Rows with a hot key take their surrogate from a broadcast of those keys, at most ``1 / hot_share`` rows, and
+    go to the big join under a hash of the row instead, so they are spread; what they meet there does not count.
+    A dimension that is bucketed by the key stays where it is.
+    """
+    key, name = role.fact_key, role.role_key
+    if not hot:
+        return fact.join(pairs.hint("merge"), key, "left")
+    few = pairs.filter(is_hot(key, hot)).withColumnRenamed(name, "_hot_key")
+    kind = pairs.schema[key].dataType
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(1 << 30)).cast(kind)
+    met = fact.join(F.broadcast(few), key, "left").withColumn("_hot", is_hot(key, hot))
+    met = met.withColumn("_at", F.when(F.col("_hot"), spread).otherwise(F.col(f"`{key}`")))
+    found = met.join(pairs.withColumnRenamed(key, "_at").hint("merge"), "_at", "left")
+    surrogate = F.when(F.col("_hot"), F.col("_hot_key")).otherwise(F.col(f"`{name}`"))
+    return found.select(*[F.col(f"`{c}`") for c in fact.columns], surrogate.alias(name))
+
+
 def lookup_keys(
     fact: DataFrame,
     lookups: Sequence[Lookup],
@@ -49,12 +70,16 @@ def lookup_keys(
     """
     staged = fact
     pairs = [role.pairs(expiry) for role in lookups]
-    first = {id(role.dim): i for i, role in reversed(list(enumerate(lookups)))}
+    first = {id(role.dim): i for i, role in reversed(list(enumerate(lookups))) if not role.bucketed}
     # All roles end up in one plan, so they share one broadcast budget.
     budget = replace(limits, broadcast_bytes=limits.broadcast_bytes // max(1, len(lookups)))
     fits = dict(zip(first, are_small([pairs[i] for i in first.values()], budget), strict=True))
     for role, pair in zip(lookups, pairs, strict=True):
-        small = fits[id(role.dim)]
+        if role.bucketed and fact.schema[role.fact_key].dataType == pair.schema[role.fact_key].dataType:
+            found = _spread_lookup(fact, pair, role, hot_keys(staged, role.fact_key, limits)).drop(role.fact_key)
+            fact = found if unknown_key is None else found.fillna({role.role_key: unknown_key})
+            continue
+        small = fits.get(id(role.dim), False)
         hot = {} if small else hot_keys(staged, role.fact_key, limits)
         fact = skew_join(fact, pair, role.fact_key, "left", limits, hot, small).drop(role.fact_key)
         if unknown_key is not None:

@@ -393,4 +393,8 @@ union all select 'view_daily', null""",
     "star_from_files": _INCREMENTAL,
     "star_optional_source": f'select * replace (null::bigint as "PromotionKey") from ({_STAR})',
 }
+ORACLES["footer_bounds"] = """
+select 'orders' table_name, count(*) n_rows, min(o_orderkey) min_0, max(o_orderkey) max_0, min(o_custkey) min_1, max(o_custkey) max_1 from orders
+union all select 'lineitem', count(*), min(l_orderkey), max(l_orderkey), min(l_partkey), max(l_partkey) from lineitem"""
+ORACLES["lookup_bucketed"] = ORACLES["lookup_role_playing"]
 ORACLES["history_partitions"] = ORACLES["scd2_apply"]

@@ -292,6 +292,18 @@ def max_key(r: Retail) -> DataFrame:
     )
 
 
+@query
+def footer_bounds(r: Retail) -> DataFrame:
+    """Rows and smallest and largest key of the large tables, taken from file footers."""
+    keys = {"orders": ["o_orderkey", "o_custkey"], "lineitem": ["l_orderkey", "l_partkey"]}
+    found = [sources.known_bounds(r.spark, f"{r.folder}/{t}.parquet", cs) for t, cs in keys.items()]
+    shaped = [
+        df.select(F.lit(t).alias("table_name"), "n_rows", *[F.col(f"{n}_{c}").alias(f"{n}_{i}") for i, c in enumerate(keys[t]) for n in ("min", "max")])
+        for t, df in zip(keys, found)
+    ]
+    return shaped[0].unionByName(shaped[1])
+
+
 @query
 def insert_new_keys(r: Retail) -> DataFrame:
     staging = r.table("customer").select(F.col("c_custkey").alias("CustomerAK"))
@@ -421,6 +433,20 @@ def lookup_role_playing(r: Retail) -> DataFrame:
     return ops.lookup_keys(lines, roles)
 
 
+@query
+def lookup_bucketed(r: Retail) -> DataFrame:
+    """As ``lookup_role_playing``, with the customers in a bucketed table that takes part without broadcast or shuffle."""
+    database, where = _fresh_database(r.spark)
+    r.spark.sql(f"CREATE SCHEMA {database} LOCATION '{where}'")
+    buckets = int(r.spark.conf.get("spark.sql.shuffle.partitions"))
+    dim = sinks.write_bucketed(r.known_customers(), f"{database}.customers", "CustomerAK", buckets)
+    lines = r.order_lines().select(
+        "o_orderkey", "l_linenumber", "l_partkey", F.col("o_custkey").alias("BillToAK"), F.col("l_suppkey").alias("ShipToAK")
+    )
+    roles = [ops.Lookup(dim, f"{role}AK", f"{role}Key", "CustomerKey", "CustomerAK", bucketed=True) for role in ("BillTo", "ShipTo")]
+    return ops.lookup_keys(lines, roles)
+
+
 def _customer_dim(r: Retail) -> DataFrame:
     names = r.table("customer").select(F.col("c_custkey").alias("CustomerAK"), F.col("c_name").alias("Name"))
     known = r.known_customers().join(names, "CustomerAK").select("CustomerKey", "CustomerAK", "Name")

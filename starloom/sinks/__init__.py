@@ -12,7 +12,7 @@ from .batches import (
     write_batch,
     write_versions,
 )
-from .tables import append_table, create_tables, describe_table, rewrite_table, write_staging
+from .tables import append_table, create_tables, describe_table, rewrite_table, write_bucketed, write_staging
 
 __all__ = [
     "add_members",
@@ -30,6 +30,7 @@ __all__ = [
     "rewrite_table",
     "versions",
     "write_batch",
+    "write_bucketed",
     "write_staging",
     "write_versions",
 ]

@@ -35,6 +35,15 @@ def write_staging(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+    """Replace a table that is bucketed and sorted by ``key``: joins and groups by that key need no shuffle of it.
+
+    Rows are brought together by bucket first, so each bucket is one file.
+    """
+    df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def append_table(df: DataFrame, table: str) -> None:
     """Append by column name, with the types of the table; a value that does not fit raises."""
     conform(df, df.sparkSession.table(table)).write.mode("append").format("parquet").saveAsTable(table)
