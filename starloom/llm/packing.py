@@ -36,7 +36,7 @@ CAPACITY = 2048
 END = 0
 VOCABULARY = "byte_bpe_50k.tiktoken"  # the same ids as byte_bpe_50k.json
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256  # the added token of byte_bpe_50k.json
-PIECE_CHARS = 2 << 20
+PIECE_CHARS = 1 << 18
 
 # Classes of characters in the splitting pattern of the vocabulary.
 _LETTER, _NUMBER, _OTHER, _SPACE, _UNKNOWN = 0, 1, 2, 3, 255
