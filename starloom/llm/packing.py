@@ -4,11 +4,13 @@ Pieces are described by the histogram of their lengths, which has at most
 ``capacity`` rows whatever the size of the corpus.  A configuration is a multiset of
 lengths that fits one sequence.  The linear program over configurations (cover
 all pieces with as few sequences as possible) is solved by multiplicative
-weights: lengths that are covered less than others gain weight, and the next
-configuration is the knapsack of largest weight, found by dynamic programming.
-The solution is rounded down; what is left is placed by best fit decreasing,
-on the histogram again.  Pieces then find their sequence by their number
-among the pieces of equal length, so no row of the corpus is ever gathered.
+weights: configurations are priced by a knapsack table over the rooms of a
+sequence (dynamic programming), one table gives the best configuration for every
+length, and lengths whose configurations are not worth the optimum gain weight.
+The solution is rounded, a program is solved again for the pieces that rounding
+leaves, and the few of the last one are placed by best fit decreasing.  Pieces then
+find their sequence by their number among the pieces of equal length, so no row of
+the corpus is ever gathered.
 
 Defined cases: a NULL or empty text has the end token only; a text longer than a
 sequence is cut into full sequences, the first piece being the shorter one; an
@@ -20,8 +22,10 @@ from __future__ import annotations
 
 import base64
 import itertools
+import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -230,47 +234,84 @@ def token_pieces(
 Configuration = tuple[tuple[int, int], ...]
 
 
-def best_configuration(lengths: np.ndarray, worth: np.ndarray, most: np.ndarray, capacity: int) -> Configuration:
-    """The knapsack of largest worth by dynamic programming over the room; no length more than ``most`` times."""
+def knapsack(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
+    """The largest worth that fits each room from 0 to ``capacity``, by dynamic programming; ``lengths`` ascend."""
     best = np.zeros(capacity + 1)
-    pick = np.full(capacity + 1, -1)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for room in range(1, capacity + 1):
-        best[room] = best[room - 1]
-        if k := fits[room]:
-            value = best[room - lengths[:k]] + worth[:k]
-            i = int(value.argmax())
-            if value[i] > best[room] + 1e-12:
-                best[room], pick[room] = value[i], i
-    room, counts = capacity, {}
-    while room > 0:
-        i = pick[room]
-        if i < 0:
-            room -= 1
-        else:
-            counts[i] = counts.get(i, 0) + 1
-            room -= int(lengths[i])
-    return tuple((int(lengths[i]), int(min(c, most[i]))) for i, c in sorted(counts.items(), reverse=True))
-
-
-def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, steps: int) -> dict[Configuration, float]:
-    """Multiplicative weights: each configuration and how often it is used, covering no length more than its count."""
-    covered = np.zeros(len(lengths))
-    use: dict[Configuration, float] = {}
-    place = {int(n): i for i, n in enumerate(lengths)}
+    for room in range(int(lengths[0]), capacity + 1):
+        k = fits[room]
+        best[room] = max(best[room - 1], (best[room - lengths[:k]] + worth[:k]).max())
+    return best
+
+
+def best_configuration(
+    anchor: int, lengths: np.ndarray, worth: np.ndarray, best: np.ndarray, most: np.ndarray, capacity: int
+) -> dict[int, int]:
+    """The best way the table knows to fill up a sequence that holds ``anchor``: places of lengths and copies, each at most
+    ``most`` times.  Of fillings of equal worth the one with the greatest lengths."""
+    counts, room, free = {anchor: 1}, capacity - int(lengths[anchor]), most.copy()
+    free[anchor] -= 1
+    while k := int(np.searchsorted(lengths, room, side="right")):
+        value = np.where(free[:k] > 0, best[room - lengths[:k]] + worth[:k], -1.0)
+        i = k - 1 - int(value[::-1].argmax())
+        if value[i] < 0:
+            break
+        copies = np.arange(1, min(int(free[i]), room // int(lengths[i])) + 1)
+        worse = best[room - copies * lengths[i]] + copies * worth[i] < value[i] - 1e-12
+        take = int(worse.argmax()) if worse.any() else len(copies)
+        take = max(take, 1)
+        counts[i] = counts.get(i, 0) + take
+        free[i] -= take
+        room -= take * int(lengths[i])
+    return counts
+
+
+# How often each configuration (places of lengths and copies) is used.
+Use = dict[tuple[tuple[int, int], ...], float]
+
+
+def _cover(lengths: np.ndarray, counts: np.ndarray, worth: np.ndarray, best: np.ndarray, capacity: int) -> tuple[Use, np.ndarray]:
+    """Cover all pieces with configurations priced by the table, those of the greatest lengths first, and tell how much the
+    configurations of each length fall short of the best one."""
+    covered, short = np.zeros(len(lengths)), np.zeros(len(lengths))
+    most = np.minimum(counts, capacity // lengths)
+    use: Use = {}
+    for anchor in range(len(lengths) - 1, -1, -1):
+        while most[anchor]:
+            config = best_configuration(anchor, lengths, worth, best, most, capacity)
+            places, copies = np.fromiter(config, np.int64), np.fromiter(config.values(), np.int64)
+            times = float(((counts[places] - covered[places]) / copies).min())
+            key = tuple(sorted(config.items(), reverse=True))
+            use[key] = use.get(key, 0.0) + times
+            covered[places] += times * copies
+            short[places] += times * copies * max(0.0, 1 - float(worth[places] @ copies) / best[capacity])
+            most[places[counts[places] - covered[places] <= 1e-9 * counts[places]]] = 0
+    return use, short / counts
+
+
+def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, steps: int, gap: float = 1e-3) -> tuple[Use, float]:
+    """Multiplicative weights: how often each configuration is used, and a lower bound of the number of sequences.
+
+    A step prices lengths by their weights and covers all pieces.  Lengths that end in configurations worth less than
+    the knapsack's optimum gain weight, so that later steps give them what fills their sequences.  Weights over that optimum
+    are a solution of the dual program, hence the bound.  The best step counts; steps end when it is within ``gap`` of the
+    bound, or one sequence.
+    """
+    worth, bound, kept, least = lengths / capacity, 0.0, {}, np.inf
     for _ in range(steps):
-        worth = lengths * np.exp(-8 * (covered - covered.min()))
-        config = best_configuration(lengths, worth, counts, capacity)
-        times = min(counts[place[n]] / a for n, a in config) / 2
-        use[config] = use.get(config, 0.0) + times
-        for n, a in config:
-            covered[place[n]] += times * a / counts[place[n]]
-    scale = max(1.0, covered.max())
-    return {c: t / scale for c, t in use.items()}
-
-
-def best_fit(left: dict[int, int], capacity: int) -> list[tuple[int, Configuration]]:
-    """Best fit decreasing on a histogram; equal sequences are handled together."""
+        best = knapsack(lengths, worth, capacity)
+        bound = max(bound, float(counts @ worth) / best[capacity])
+        use, short = _cover(lengths, counts, worth, best, capacity)
+        if sum(use.values()) < least:
+            kept, least = use, sum(use.values())
+        if least <= bound * (1 + gap) + 1:
+            break
+        worth = worth * np.exp(short)
+    return kept, bound
+
+
+def best_fit(left: dict[int, int], capacity: int, begun: Iterable[tuple[int, Configuration]] = ()) -> list[tuple[int, Configuration]]:
+    """Best fit decreasing on a histogram, also into the room of sequences ``begun``; equal sequences are handled together."""
     open_: dict[int, dict[tuple, int]] = {}  # room -> contents -> how many sequences
 
     def put(room: int, content: tuple, times: int) -> None:
@@ -278,6 +319,8 @@ def best_fit(left: dict[int, int], capacity: int) -> list[tuple[int, Configurati
             open_.setdefault(room, {})
             open_[room][content] = open_[room].get(content, 0) + times
 
+    for times, config in begun:
+        put(capacity - sum(n * each for n, each in config), config, times)
     for n in sorted(left, reverse=True):
         todo = left[n]
         while todo:
@@ -299,28 +342,46 @@ def best_fit(left: dict[int, int], capacity: int) -> list[tuple[int, Configurati
     return [(times, content) for contents in open_.values() for content, times in contents.items()]
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = 60, phases: int = 4) -> list[tuple[int, Configuration]]:
-    """Configurations and how many sequences have each; together they hold exactly the histogram."""
-    left = {n: c for n, c in histogram.items() if c}
-    chosen: list[tuple[int, Configuration]] = []
-    total = sum(left.values())
+class Solution(NamedTuple):
+    """Configurations of the rounded program and how many sequences have each, the pieces it leaves, and a lower bound of the
+    number of sequences."""
+
+    plan: list[tuple[int, Configuration]]
+    left: dict[int, int]
+    bound: float
+
+
+def solve_program(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = 12, phases: int = 4) -> Solution:
+    """The configuration program solved and rounded.
+
+    Configurations are taken a whole number of times, rounded up as far as pieces are left, those of the greatest lengths
+    first.  Rounding leaves pieces; a program of its own is solved for these, ``phases`` times at most.
+    """
+    left = {int(n): int(c) for n, c in histogram.items() if c}
+    few = sum(left.values()) // 500
+    plan: list[tuple[int, Configuration]] = []
+    bound = 0.0
     for _ in range(phases):
-        if sum(left.values()) <= max(64, total // 200):
+        if sum(left.values()) <= few or not left:
             break
         lengths = np.array(sorted(left), np.int64)
-        counts = np.array([left[n] for n in lengths.tolist()], np.int64)
-        for config, times in fractional(lengths, counts, capacity, steps).items():
-            times = int(times)
-            # Rounding down can only leave room, never overfill; sums of doubles are checked all the same.
-            times = min([times, *(left.get(n, 0) // a for n, a in config)])
-            if times:
-                chosen.append((times, config))
-                for n, a in config:
-                    left[n] -= times * a
-        left = {n: c for n, c in left.items() if c}
-        if not left:
-            break
-    return chosen + best_fit(left, capacity)
+        rest = [left[n] for n in lengths.tolist()]
+        use, below = fractional(lengths, np.array(rest, np.int64), capacity, steps)
+        bound = bound or below
+        for config, times in sorted(use.items(), key=lambda u: (-u[0][0][0], -u[1], u[0])):
+            whole = min([math.ceil(times * (1 - 1e-9)), *(rest[i] // k for i, k in config)])
+            if whole:
+                plan.append((whole, tuple((int(lengths[i]), k) for i, k in config)))
+                for i, k in config:
+                    rest[i] -= whole * k
+        left = {n: c for n, c in zip(lengths.tolist(), rest) if c}
+    return Solution(plan, left, bound)
+
+
+def solve(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = 12, phases: int = 4) -> list[tuple[int, Configuration]]:
+    """Configurations and how many sequences have each; together they hold exactly the histogram."""
+    solution = solve_program(histogram, capacity, steps, phases)
+    return best_fit(solution.left, capacity, solution.plan)
 
 
 def _runs(plan: list[tuple[int, Configuration]]) -> dict[int, list[tuple[int, int, int, int]]]:
@@ -336,7 +397,7 @@ def _runs(plan: list[tuple[int, Configuration]]) -> dict[int, list[tuple[int, in
     return runs
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, steps: int = 60) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, steps: int = 12) -> DataFrame:
     """Add sequence_id and offset to pieces that have a ``length``."""
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
     runs = _runs(solve(histogram, capacity, steps))
