@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..limits import DEFAULT, Limits
 from .members import conform, rows_not_in
-from .numbering import assign_keys
+from .numbering import Reserve, assign_keys
 from .skew import HotKeys, are_small, hot_keys, is_hot, skew_join
 
 
@@ -107,8 +107,9 @@ def inferred_members(
     inferred: str = "Inferred",
     load_date: str = "LoadDate",
     limits: Limits = DEFAULT,
+    reserve: Reserve | None = None,
 ) -> DataFrame:
     """Dimension rows to append before the fact is loaded: one key per unknown member, no attributes yet."""
-    unknown = assign_keys(missing_members(fact, dim, alt_key, limits), alt_key, key, after=dim)
+    unknown = assign_keys(missing_members(fact, dim, alt_key, limits), alt_key, key, after=dim, reserve=reserve)
     marks = {inferred: F.lit(1), load_date: F.lit(run_ts)}
     return conform(unknown.withColumns({c: v for c, v in marks.items() if c in dim.columns}), dim)

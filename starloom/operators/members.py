@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..limits import DEFAULT, Limits
-from .numbering import assign_keys
+from .numbering import Reserve, assign_keys
 from .skew import HotKeys, as_list, skew_join
 
 
@@ -81,12 +81,13 @@ def insert_new(
     latest: str | Sequence[str] = (),
     limits: Limits = DEFAULT,
     reject: bool = False,
+    reserve: Reserve | None = None,
 ) -> DataFrame:
-    """Rows to append to ``dest``: unknown members, each once, with new keys.
+    """Rows to append to ``dest``: unknown members, each once, with new keys, of a block of their own with ``reserve``.
 
     A staged row without an alternative key names no member and is left out.
     Of repeated members the one with the greatest ``latest`` columns counts, or ``reject`` raises.
     """
     # Known members go first: usually most rows, and then only new ones are compared with each other.
     new = rows_not_in(staging.filter(F.col(alt_key).isNotNull()), dest, alt_key, limits)
-    return conform(assign_keys(one_per_key(new, alt_key, latest, reject), alt_key, key, after=dest), dest)
+    return conform(assign_keys(one_per_key(new, alt_key, latest, reject), alt_key, key, after=dest, reserve=reserve), dest)

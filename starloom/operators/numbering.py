@@ -14,6 +14,9 @@ from .skew import HotKeys, as_list, hot_keys, is_hot
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
+# Gives the number after which a block of keys begins, for a number of rows and a one-row frame with the largest key in use.
+Reserve = Callable[[int, DataFrame], int]
+
 
 def ordered_index(df: DataFrame, order_by: str | Sequence[str], name: str = "idx") -> DataFrame:
     """Add the 0-based position of each row in the order of ``order_by`` (which should be unique).
@@ -46,15 +49,22 @@ def max_key(df: DataFrame, key: str, name: str = "max_key") -> DataFrame:
 
 
 def assign_keys(
-    df: DataFrame, alt_key: str | Sequence[str], key: str, after: DataFrame, key_type: str = "long"
+    df: DataFrame,
+    alt_key: str | Sequence[str],
+    key: str,
+    after: DataFrame,
+    key_type: str = "long",
+    reserve: Reserve | None = None,
 ) -> DataFrame:
     """Dense surrogate keys in ``alt_key`` order, above the largest ``key`` of ``after``.
 
-    The maximum stays a scalar subquery of the final plan; nothing is fetched.
+    The maximum stays a scalar subquery of the final plan; nothing is fetched.  With ``reserve`` the keys are those of
+    a block that no other load gets; the rows are stored by then, so their count is read from footers.
     """
-    top = max_key(after, key).scalar()
     rest = [c for c in df.columns if c != key]
     indexed = ordered_index(df.select(*rest), alt_key, "_idx")
+    largest = max_key(after, key)
+    top = largest.scalar() if reserve is None else F.lit(reserve(indexed.count(), largest))
     return indexed.select((top + F.col("_idx") + 1).cast(key_type).alias(key), *rest)
 
 

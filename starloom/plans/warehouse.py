@@ -16,9 +16,11 @@ from ..operators import control
 from ..operators.history import apply_history, member_changes
 from ..operators.lookup import inferred_members
 from ..operators.members import insert_new, one_per_key
+from ..operators.numbering import Reserve
 from ..operators.skew import as_list
 from ..scratch import materialize, scratch_folder
 from ..sinks import batches
+from ..sinks.keys import KeyLog
 from ..sinks.tables import append_table, create_tables, rewrite_table, write_staging
 from ..sources.freshness import is_built_from, manifest, mark_built
 from ..sources.scans import scan_parquet, scan_source
@@ -70,6 +72,7 @@ class Warehouse:
         number_all_lines: bool = False,
         moving_dates: bool = False,
         keep: int = 2,
+        key_log: KeyLog | None = None,
     ):
         """``latest`` names, per dimension table, the staged columns that decide between rows of one
         member; with ``reject`` a member that is staged twice raises instead.  ``number_all_lines`` gives
@@ -78,10 +81,11 @@ class Warehouse:
 
         An order keeps its date, so incoming orders are compared with the facts of their own months only;
         ``moving_dates`` compares them with all facts.  ``keep`` is the number of versions of a rewritten table
-        that stay, the one in use included."""
+        that stay, the one in use included.  With a ``key_log`` surrogate keys are reserved before they are used, so
+        loads that run at the same time never give one key twice."""
         self.spark, self.database, self.limits, self.files = spark, database, limits, files
         self.latest, self.reject, self.number_all_lines = latest or {}, reject, number_all_lines
-        self.moving_dates, self.keep = moving_dates, keep
+        self.moving_dates, self.keep, self.key_log = moving_dates, keep, key_log
 
     def sources(self) -> dict[str, DataFrame]:
         """The declared source tables as scans of the source folder; absent optional ones are empty."""
@@ -124,6 +128,9 @@ class Warehouse:
             return batches.current_versions(self.spark, self.name(table), last)
         return self.table(table)
 
+    def reserve(self, table: str) -> Reserve | None:
+        return self.key_log and self.key_log.block(table)
+
     def add(self, table: str, members: DataFrame, last: int | None = None) -> None:
         if table in VERSIONED_TABLES:
             batches.add_members(members, self.name(table), last)
@@ -155,7 +162,8 @@ class Warehouse:
         last = batches.last_batch(self.spark, name) if table in VERSIONED_TABLES else None
         if self.reject:
             one_per_key(staging.filter(F.col(alt_key).isNotNull()), alt_key, reject=True)
-        self.add(table, insert_new(staging, self.current(table, last), alt_key, key, latest, self.limits), last)
+        new = insert_new(staging, self.current(table, last), alt_key, key, latest, self.limits, reserve=self.reserve(table))
+        self.add(table, new, last)
         if not tracked:
             return
         options = {"inferred": inferred, "latest": latest, "limits": self.limits}
@@ -269,7 +277,8 @@ class Warehouse:
         """Look up the keys of stored new lines; customers nobody has heard of are entered first."""
         last = batches.last_batch(self.spark, self.name("DimCustomer"))
         known = self.current("DimCustomer", last)
-        self.add("DimCustomer", inferred_members(lines, known, "CustomerAK", "CustomerKey", run_ts, limits=self.limits), last)
+        options = {"limits": self.limits, "reserve": self.reserve("DimCustomer")}
+        self.add("DimCustomer", inferred_members(lines, known, "CustomerAK", "CustomerKey", run_ts, **options), last)
         rows = sales.fact_rows(
             lines,
             self.current("DimCustomer", last),

@@ -297,6 +297,9 @@ with {_KNOWN_CUSTOMERS}
 select row_number() over (order by c_name) + (select max(k) from known) "CustomerKey", c_name "NameAK"
 from (select distinct c_name from customer join orders on c_custkey = o_custkey
       where c_custkey not in (select ak from known))""",
+    "insert_new_together": """
+select count(*) n_rows, count(distinct c_custkey) n_keys, 1::bigint least, count(*) greatest, count(distinct c_nationkey < 12) dense_loads
+from customer""",
     "load_stats": f"""
 with {_KNOWN_CUSTOMERS}
 select count(*) staged, count(*) - count(ak) new_rows, count(ak) existing_rows

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import operators as ops, plans, sinks, sources
 from ..functions import blank_tokens, calendar_key
 from ..limits import DEFAULT
-from ..scratch import scratch_path
+from ..scratch import materialize, scratch_path
 from .retail import LINE_ORDER, ORDERS_LOADED_UNTIL, Retail, ntz
 
 WINDOW = (datetime(2024, 1, 28), datetime(2024, 1, 30))
@@ -322,6 +324,33 @@ def insert_new_text_keys(r: Retail) -> DataFrame:
     return ops.insert_new(staging, known, "NameAK", "CustomerKey")
 
 
+@query
+def insert_new_together(r: Retail) -> DataFrame:
+    """Customers of two sources, told apart by nation, inserted into an empty dimension by two loads that start together.
+
+    Each load reserves its block of keys, so the two share none, and each numbers its own customers densely.
+    """
+    log = sinks.KeyLog(r.spark, scratch_path(r.spark, "key-log"))
+    staged = r.table("customer").select(F.col("c_custkey").alias("CustomerAK"), "c_nationkey")
+    dest = r.spark.createDataFrame([], "CustomerKey long, CustomerAK long")
+
+    def load(source: int) -> DataFrame:
+        mine = staged.filter((F.col("c_nationkey") < 12) == F.lit(source == 0))
+        new = ops.insert_new(mine, dest, "CustomerAK", "CustomerKey", reserve=log.block("customer"))
+        return materialize(new.withColumn("source", F.lit(source)), "keyed")
+
+    with ThreadPoolExecutor(2) as pool:
+        first, second = [job.result() for job in [pool.submit(inheritable_thread_target(r.spark)(load), i) for i in (0, 1)]]
+    both = first.unionByName(second)
+    least, greatest = F.min("CustomerKey"), F.max("CustomerKey")
+    loads = both.groupBy("source").agg(F.count(F.lit(1)).alias("n"), least.alias("lo"), greatest.alias("hi"))
+    dense = loads.agg(F.count_if(F.col("hi") - F.col("lo") + 1 == F.col("n")).alias("dense_loads"))
+    keys = both.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("CustomerKey").alias("n_keys"), least.alias("least"), greatest.alias("greatest")
+    )
+    return keys.withColumn("dense_loads", dense.scalar())
+
+
 @query
 def load_stats(r: Retail) -> DataFrame:
     staging = r.table("orders").select(F.col("o_custkey").alias("CustomerAK"))

@@ -12,9 +12,11 @@ from .batches import (
     write_batch,
     write_versions,
 )
+from .keys import KeyLog
 from .tables import append_table, create_tables, describe_table, rewrite_table, write_bucketed, write_staging
 
 __all__ = [
+    "KeyLog",
     "add_members",
     "append_batch",
     "append_table",
