@@ -10,16 +10,20 @@ The exact block quotas of all sources are dealt to the output shards by a
 binary tree: the left half of a node's shards gets its share of the node's
 blocks, composed as a multivariate-hypergeometric draw, the right half gets the
 rest.  The draw is made source by source, by inversion of the hypergeometric
-distribution.  A leaf then owns a run of each source's permuted blocks, disjoint
-from all others, and its documents are shuffled locally.
+distribution.  Sources may be many: groups of them are dealt first, then the
+sources of a group among the blocks that each shard has of the group.  A leaf
+owns a run of each source's permuted blocks, disjoint from all others, and its
+documents are shuffled locally.  A draw is one that a leaf owns.
 
-All of it is DataFrame code.  The only tables that are broadcast have one row
-per source and one number per source and shard, and their size is checked.
+All of it is DataFrame code.  Tables with one row per source, or one number per
+source and shard that has blocks of it, are broadcast if they are small, which
+is measured, and joined with salted keys otherwise.  Only the targets are worked
+out in one task, from a few numbers per source.
 
 Defined cases: a NULL text has no words; a NULL source is a source of its own,
 the last one; documents without words are drawn as often as their place says
 and add nothing; an empty table gives no rows; rows that repeat an id share
-their place; other columns are carried along.
+their place; other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..limits import DEFAULT, Limits
-from ..operators.skew import skew_join
+from ..operators.skew import is_small, skew_join
 from ..scratch import materialize
 from .common import WORDS
 
@@ -40,6 +44,8 @@ BLOCK_WORDS = 16_384
 SHARD_WORDS = 8_000_000
 MOST_SHARDS = 16_384  # beyond it shards grow, and each is written by several tasks
 BUCKETS = 1 << 16  # of the permutation, to find where the last round ends
+PARTS = 4  # tasks that write a shard
+FAN = 128  # sources that are dealt in one row
 _PLACES = 60  # bits of a place in the permutation
 
 
@@ -91,11 +97,11 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     return per.select("_key", "words", "docs", "total", F.when(full, F.col("cap").cast("double")).otherwise(rest).alias("target"))
 
 
-def _ends(rows: DataFrame, goals: DataFrame, buckets: int) -> DataFrame:
+def _ends(rows: DataFrame, goals: DataFrame, buckets: int, limits: Limits, small: bool) -> DataFrame:
     """Where each source's prefix (by place) of about ``goal`` words ends: _key, end, got.
 
     Sums per bucket of the permutation show the bucket in which it ends; only
-    that bucket's documents are put in order.
+    that bucket's documents are put in order.  ``small``: a row per source may be broadcast.
     """
     shift = _PLACES - int(math.log2(buckets))
     bucket = F.shiftright("_place", shift)
@@ -103,7 +109,7 @@ def _ends(rows: DataFrame, goals: DataFrame, buckets: int) -> DataFrame:
     sums = rows.groupBy("_key", bucket.alias("bucket")).agg(F.sum("_size").alias("n"))
     sums = sums.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
     last = (
-        sums.join(F.broadcast(goals), "_key")  # one row per source
+        skew_join(sums, goals, "_key", "inner", limits, small=small)
         .filter(F.col("before") <= F.greatest("goal", F.lit(0.0)))
         .groupBy("_key", "goal")
         .agg(F.max(F.struct("bucket", "before")).alias("b"))
@@ -111,8 +117,7 @@ def _ends(rows: DataFrame, goals: DataFrame, buckets: int) -> DataFrame:
     )
     last = materialize(last, "mix_last")
     inside = (
-        rows.withColumn("bucket", bucket)
-        .join(F.broadcast(last), ["_key", "bucket"])  # one row per source
+        skew_join(rows.withColumn("bucket", bucket), last, ["_key", "bucket"], "inner", limits, small=small)
         .groupBy("_key", "goal", "bucket", "before", "_place")
         .agg(F.sum("_size").alias("n"))
     )
@@ -202,22 +207,58 @@ def _draw(quotas: Column, room: Column, name: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.size(quotas)), start, step)["out"]
 
 
-def split_quotas(quotas: DataFrame, shards: int, seed: str = SEED) -> DataFrame:
-    """Deal exact quotas (one row: arrays ``names`` and ``quotas``) to ``shards``: shard, names, quotas."""
-    nodes = quotas.select(F.lit(0).alias("lo"), F.lit(shards).alias("hi"), "quotas", "names")
-    for _ in range(max(0, math.ceil(math.log2(shards)))):
-        mid = F.shiftright(F.col("lo") + F.col("hi"), 1)
-        whole = F.aggregate("quotas", F.lit(0).cast("long"), lambda a, q: a + q)
-        share = (F.col("mid") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-        name = F.concat_ws("|", F.lit(seed), F.col("lo").cast("string"), F.col("hi").cast("string"))
-        one = F.col("hi") - F.col("lo") <= 1
-        nodes = nodes.withColumn("mid", mid).withColumn("room", F.round(whole * share).cast("long"))
-        nodes = nodes.withColumn("got", F.when(one, F.col("quotas")).otherwise(_draw(F.col("quotas"), F.col("room"), name)))
-        left = F.struct(F.col("lo"), F.when(one, F.col("hi")).otherwise(F.col("mid")).alias("hi"), F.col("got").alias("quotas"), F.col("names"))
-        rest = F.zip_with("quotas", "got", lambda q, x: q - x)
-        right = F.struct(F.col("mid").alias("lo"), F.col("hi"), rest.alias("quotas"), F.col("names"))
-        nodes = nodes.select(F.explode(F.when(one, F.array(left)).otherwise(F.array(left, right))).alias("n")).select("n.*")
-    return nodes.select(F.col("lo").alias("shard"), "names", "quotas")
+def _split(nodes: DataFrame, levels: int, seed: str) -> DataFrame:
+    """Halve the shards of every node (group, items: name and quota, rooms: shard and n) until each has one.
+
+    The left half draws its room from the items, the right half gets the rest; items without blocks are left out.
+    """
+    for _ in range(levels):
+        half = F.shiftright(F.size("rooms"), 1)
+        one = F.size("rooms") <= 1
+        nodes = nodes.withColumns(
+            {
+                "quotas": F.transform("items", lambda i: i["quota"]),
+                "first": F.slice("rooms", F.lit(1), half),
+                "last": F.slice("rooms", half + 1, F.size("rooms")),
+            }
+        )
+        room = F.aggregate("first", F.lit(0).cast("long"), lambda a, r: a + r["n"])
+        ends = [F.element_at("rooms", i)["shard"].cast("string") for i in (1, -1)]
+        name = F.concat_ws("|", F.lit(seed), F.col("group"), *ends)
+        nodes = nodes.withColumn("got", F.when(one, F.col("quotas")).otherwise(_draw(F.col("quotas"), room, name)))
+        left = F.zip_with("items", "got", lambda i, x: F.struct(i["name"].alias("name"), x.alias("quota")))
+        right = F.zip_with("items", "got", lambda i, x: F.struct(i["name"].alias("name"), (i["quota"] - x).alias("quota")))
+        sides = [
+            F.struct("group", F.filter(items, lambda i: i["quota"] > 0).alias("items"), rooms.alias("rooms"))
+            for items, rooms in ((left, F.when(one, F.col("rooms")).otherwise(F.col("first"))), (right, F.col("last")))
+        ]
+        nodes = nodes.select(F.explode(F.when(one, F.array(sides[0])).otherwise(F.array(*sides))).alias("n")).select("n.*")
+    return nodes
+
+
+def deal(quotas: DataFrame, shards: int, seed: str = SEED, fan: int = FAN) -> DataFrame:
+    """Deal exact quotas (``_key``, ``quota``: one row per source) to shards of equal room: _key, shard, n above 0.
+
+    More than ``fan`` sources are dealt by groups: a group's blocks in a shard are the room its sources draw for.
+    """
+    some = quotas.filter("quota > 0").select(F.col("_key").alias("name"), "quota")
+    count, whole = some.agg(F.count(F.lit(1)), F.coalesce(F.sum("quota"), F.lit(0))).first()
+    groups = max(1, math.ceil(count / fan))
+    group = F.pmod(F.xxhash64("name"), F.lit(groups)).cast("string")
+    nodes = some.groupBy(group.alias("group")).agg(F.array_sort(F.collect_list(F.struct("name", "quota"))).alias("items"))
+    if groups > 1:
+        sums = some.groupBy(group.alias("_key")).agg(F.sum("quota").alias("quota"))
+        above = materialize(deal(sums, shards, f"{seed}/{groups}", fan), "mix_rooms")
+        rooms = above.groupBy(F.col("_key").alias("group")).agg(F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("rooms"))
+        tasks = min(groups, int(quotas.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        nodes = nodes.join(rooms.hint("merge"), "group").repartition(tasks, "group")
+    else:
+        upto = lambda i: F.floor(F.lit(whole) * i / F.lit(shards)).cast("long")
+        each = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda i: F.struct(i.alias("shard"), (upto(i + 1) - upto(i)).alias("n")))
+        nodes = nodes.withColumn("rooms", F.filter(each, lambda r: r["n"] > 0))
+    leaves = _split(nodes, max(0, math.ceil(math.log2(shards))), seed)
+    dealt = leaves.select(F.element_at("rooms", 1)["shard"].alias("shard"), F.explode("items").alias("i"))
+    return dealt.select(F.col("i.name").alias("_key"), "shard", F.col("i.quota").alias("n"))
 
 
 def plan_mix(
@@ -228,21 +269,23 @@ def plan_mix(
     block_words: int = BLOCK_WORDS,
     shard_words: int = SHARD_WORDS,
     buckets: int = BUCKETS,
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """One row per source (from _key, _size, _place): what its documents need to know to find their draws."""
     goal = materialize(targets(sizes, weights, most), "mix_targets")
+    few = is_small(goal, limits)
     share = F.when(F.col("words") > 0, F.col("target") / F.col("words")).otherwise(F.lit(0.0))
     rounds = F.least(F.floor(share), F.lit(most)).cast("long")
     goal = goal.withColumn("rounds", rounds).withColumn("part", share - F.col("rounds"))
-    marked = sizes.join(F.broadcast(goal.select("_key", "words", "docs")), "_key")  # one row per source
+    marked = skew_join(sizes, goal.select("_key", "words", "docs"), "_key", "inner", limits, small=few)
     large = 2 * F.col("_size") * F.col("docs") > F.col("words")
     big, small = marked.filter(large), marked.filter(~large)
     big_words = big.groupBy("_key").agg(F.sum("_size").alias("big"))
     big_goal = goal.join(big_words, "_key").select("_key", (F.col("part") * F.col("big")).alias("goal"))
-    ends_big = materialize(_ends(big, materialize(big_goal, "mix_goal"), buckets), "mix_big")
+    ends_big = materialize(_ends(big, materialize(big_goal, "mix_goal"), buckets, limits, few), "mix_big")
     open_words = F.col("part") * F.col("words") - F.coalesce("got", F.lit(0))
     small_goal = goal.join(ends_big, "_key", "left").select("_key", open_words.alias("goal"))
-    ends_small = materialize(_ends(small, materialize(small_goal, "mix_goal"), buckets), "mix_small")
+    ends_small = materialize(_ends(small, materialize(small_goal, "mix_goal"), buckets, limits, few), "mix_small")
     none = F.lit(-1).cast("long")
     plan = (
         goal.join(ends_big.select("_key", F.col("end").alias("end_big")), "_key", "left")
@@ -258,61 +301,70 @@ def plan_mix(
     plan = materialize(plan.withColumn("quota", F.col("rounds") * F.col("blocks") + extra), "mix_plan")
     total = plan.agg(F.coalesce(F.max("total"), F.lit(0))).first()[0]
     shards = min(MOST_SHARDS, max(1, math.ceil(total / shard_words)))
-    ordered = plan.agg(F.array_sort(F.collect_list(F.struct("_key", "quota"))).alias("s"))  # one item per source
-    root = ordered.select(F.col("s._key").alias("names"), F.col("s.quota").alias("quotas"))
-    per = split_quotas(root, shards, seed).select("shard", F.explode(F.arrays_zip("names", "quotas")).alias("x"))
-    runs = per.groupBy(F.col("x.names").alias("_key")).agg(F.array_sort(F.collect_list(F.struct("shard", F.col("x.quotas").alias("n")))).alias("runs"))
-    # First block of each shard after the first: a place is found by counting how many it has passed.
-    empty = F.array().cast("array<long>")
-    sums = F.aggregate(
-        "runs",
-        F.struct(F.lit(0).cast("long").alias("sum"), empty.alias("out")),
-        lambda a, r: F.struct((a["sum"] + r["n"]).alias("sum"), F.concat(a["out"], F.array(a["sum"] + r["n"])).alias("out")),
-    )["out"]
-    runs = runs.select("_key", sums.alias("shard_ends"))
-    return materialize(plan.join(runs, "_key").withColumn("shards", F.lit(shards)), "mix_plan")
+    # The first block after each shard's run; a shard without blocks of the source has none.
+    upto = Window.partitionBy("_key").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    run = F.array_sort(F.collect_list(F.struct(F.col("end"), F.col("shard"))))
+    runs = deal(plan, shards, seed).withColumn("end", F.sum("n").over(upto)).groupBy("_key").agg(run.alias("runs"))
+    runs = runs.select("_key", F.col("runs.end").alias("shard_ends"), F.col("runs.shard").alias("shard_ids"))
+    none_yet = {"shard_ends": F.coalesce("shard_ends", F.array().cast("array<long>")), "shard_ids": F.coalesce("shard_ids", F.array().cast("array<int>"))}
+    whole = skew_join(plan, runs, "_key", "left", limits, hot={}, small=False)  # one row per source on both sides
+    return materialize(whole.withColumns(none_yet).withColumn("shards", F.lit(shards)), "mix_plan")
 
 
 def _block(place: Column) -> Column:
     return F.floor(place / float(1 << _PLACES) * F.col("blocks")).cast("long")
 
 
+def _passed(ends: Column, at: Column, most: int) -> Column:
+    """How many of at most ``most`` ascending ends are not above ``at``, by bisection."""
+    steps = F.lit([1 << i for i in reversed(range(most.bit_length()))])
+
+    def step(n: Column, more: Column) -> Column:
+        return F.when(F.get(ends, n + more - 1) <= at, n + more).otherwise(n)  # NULL beyond the last end
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
 def draw(rows: DataFrame, plan: DataFrame, seed: str = SEED, id_col: str = "doc_id", limits: Limits = DEFAULT) -> DataFrame:
     """Add _words, _target and _draws (array of round, shard and place in the shard) to rows that have
     _key, _size and _place.  No row moves unless the plan is too large to be broadcast."""
-    head = plan.agg(F.count(F.lit(1)), F.coalesce(F.max("shards"), F.lit(1))).first()
-    wanted = plan.select("_key", "words", "docs", "target", "rounds", "end_big", "end_small", "blocks", "shard_ends")
+    sources, numbers, longest = plan.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.size("shard_ends")), F.lit(0)), F.coalesce(F.max(F.size("shard_ends")), F.lit(0))
+    ).first()
+    wanted = plan.select("_key", "words", "docs", "target", "rounds", "end_big", "end_small", "blocks", "shard_ends", "shard_ids")
     wanted = wanted.toDF("_key", *[f"_{c}" for c in wanted.columns[1:]])
-    small = head[0] * (head[1] * 16 + 512) <= limits.broadcast_bytes
-    joined = rows.join(F.broadcast(wanted), "_key") if small else skew_join(rows, wanted, "_key", "inner", small=False)
+    small = sources * 512 + numbers * 16 <= limits.broadcast_bytes
+    joined = skew_join(rows, wanted, "_key", "inner", limits, small=small)
     large = 2 * F.col("_size") * F.col("_docs") > F.col("_words")
     end = F.when(large, F.col("_end_big")).otherwise(F.col("_end_small"))
     times = F.col("_rounds") + (F.col("_place") <= end).cast("long")
     block = F.floor(F.col("_place") / float(1 << _PLACES) * F.col("_blocks")).cast("long")
 
     def one(k: Column) -> Column:
-        virtual = k * F.col("_blocks") + block
-        # Ends ascend, so the shards passed are found by a binary search of the array.
-        shard = F.size(F.filter("_shard_ends", lambda e: e <= virtual))
         return F.struct(
             k.alias("round"),
-            F.least(shard, F.size("_shard_ends") - 1).alias("shard"),
+            F.get("_shard_ids", _passed(F.col("_shard_ends"), k * F.col("_blocks") + block, longest)).alias("shard"),
             F.xxhash64(F.lit(seed), F.col(f"`{id_col}`").cast("string"), k).alias("order"),
         )
 
     draws = F.when(times > 0, F.transform(F.sequence(F.lit(0).cast("long"), times - 1), one)).otherwise(F.array())
-    gone = ["_docs", "_rounds", "_end_big", "_end_small", "_blocks", "_shard_ends"]
-    return joined.withColumn("_draws", draws).drop(*gone)
+    owned = F.filter(draws, lambda d: d["shard"].isNotNull())
+    gone = ["_docs", "_rounds", "_end_big", "_end_small", "_blocks", "_shard_ends", "_shard_ids"]
+    return joined.withColumn("_draws", owned).drop(*gone)
 
 
-def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", **options) -> DataFrame:
+def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", limits: Limits = DEFAULT, **options) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as they are taken, one output shard after another,
     shuffled inside each.  The columns are those of ``docs``."""
-    placed = with_places(docs, id_col, text_col, source_col)
-    plan = plan_mix(materialize(placed.select("_key", "_size", "_place"), "mix_sizes"), **options)
-    drawn = draw(placed, plan, id_col=id_col)
-    rows = drawn.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode("_draws").alias("_draw"))
-    part = F.pmod(F.col("_draw.order"), F.lit(4))  # a shard is written by a few tasks, of random rows each
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = [F.col(f"`{c}`").alias(a) for c, a in ((id_col, "_id"), (text_col, "_text"), (source_col, "_source"))]
+    placed = with_places(docs.select(whole.alias("_document"), *named), "_id", "_text", "_source")
+    plan = plan_mix(materialize(placed.select("_key", "_size", "_place"), "mix_sizes"), limits=limits, **options)
+    drawn = draw(placed, plan, id_col="_id", limits=limits)
+    rows = drawn.select("_document", F.explode("_draws").alias("_draw"))
+    part = F.pmod(F.col("_draw.order"), F.lit(PARTS))  # a shard is written by a few tasks, of random rows each
     dealt = rows.withColumns({"_shard": F.col("_draw.shard"), "_part": part, "_order": F.col("_draw.order")})
-    dealt = dealt.repartition("_shard", "_part").sortWithinPartitions("_shard", "_part", "_order")
-    return dealt.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # As many partitions as shards and parts, so a task's rows do not grow with the table.
+    tasks = PARTS * (plan.agg(F.max("shards")).first()[0] or 1)
+    dealt = dealt.repartition(tasks, "_shard", "_part").sortWithinPartitions("_shard", "_part", "_order")
+    return dealt.select("_document.*")

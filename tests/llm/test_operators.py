@@ -117,9 +117,11 @@ def test_quotas_are_dealt_exactly_and_without_bias(spark):
     assert np.allclose(x.mean(axis=0), [15, 5, 30], atol=0.6)
     variance = 50 * 0.3 * 0.7 * 50 / 99
     assert 0.75 * variance < x[:, 0].var() < 1.3 * variance
-    quotas = spark.createDataFrame([(["a", "b"], [1001, 17])], "names array<string>, quotas array<long>")
-    parts = np.array([r["quotas"] for r in mixing.split_quotas(quotas, 7).collect()])
-    assert len(parts) == 7 and parts.sum(axis=0).tolist() == [1001, 17] and (parts >= 0).all()
+    quotas = spark.createDataFrame([("a", 1001), ("b", 17), ("c", 0)], "_key string, quota long")
+    parts = mixing.deal(quotas, 7).collect()
+    assert {r["shard"] for r in parts} == set(range(7)) and all(r["n"] > 0 for r in parts)
+    assert [sum(r["n"] for r in parts if r["_key"] == k) for k in "abc"] == [1001, 17, 0]
+    assert sorted(sum(r["n"] for r in parts if r["shard"] == i) for i in range(7)) == [145] * 4 + [146] * 3
 
 
 @settings(max_examples=40, deadline=None)
