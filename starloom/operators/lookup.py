@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..limits import DEFAULT, Limits
 from .members import conform, rows_not_in
 from .numbering import Reserve, assign_keys
-from .skew import HotKeys, are_small, hot_keys, is_hot, skew_join
+from .skew import HotKeys, hot_keys, is_hot, measured_bytes, skew_join
 
 
 @dataclass(frozen=True)
@@ -65,21 +65,26 @@ def lookup_keys(
 
     A fact without a match keeps a NULL key, or gets ``unknown_key`` if that is
     given.  All dimensions are measured in one job, each once however many roles
-    it plays, and may be broadcast up to an equal part of the limit; hot keys are
-    searched only for big ones, in the fact as it came in.
+    it plays.  The smallest are broadcast, as many as fit the limit together; hot keys are
+    searched only for the others, in the fact as it came in.
     """
     staged = fact
     pairs = [role.pairs(expiry) for role in lookups]
     first = {id(role.dim): i for i, role in reversed(list(enumerate(lookups))) if not role.bucketed}
-    # All roles end up in one plan, so they share one broadcast budget.
-    budget = replace(limits, broadcast_bytes=limits.broadcast_bytes // max(1, len(lookups)))
-    fits = dict(zip(first, are_small([pairs[i] for i in first.values()], budget), strict=True))
-    for role, pair in zip(lookups, pairs, strict=True):
+    sizes = dict(zip(first, measured_bytes([pairs[i] for i in first.values()]), strict=True))
+    # All roles end up in one plan, so they share one broadcast budget; every role has a broadcast of its own.
+    fits, left = set(), limits.broadcast_bytes
+    known = [(sizes[id(role.dim)], i) for i, role in enumerate(lookups) if sizes.get(id(role.dim)) is not None]
+    for size, i in sorted(known):
+        if size <= left:
+            fits.add(i)
+            left -= size
+    for i, (role, pair) in enumerate(zip(lookups, pairs, strict=True)):
         if role.bucketed and fact.schema[role.fact_key].dataType == pair.schema[role.fact_key].dataType:
             found = _spread_lookup(fact, pair, role, hot_keys(staged, role.fact_key, limits)).drop(role.fact_key)
             fact = found if unknown_key is None else found.fillna({role.role_key: unknown_key})
             continue
-        small = fits.get(id(role.dim), False)
+        small = i in fits
         hot = {} if small else hot_keys(staged, role.fact_key, limits)
         fact = skew_join(fact, pair, role.fact_key, "left", limits, hot, small).drop(role.fact_key)
         if unknown_key is not None:

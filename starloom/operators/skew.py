@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..limits import DEFAULT, Limits
+from ..scratch import materialize
 
 # Hash of a hot key -> number of tasks its rows are dealt to.
 HotKeys = dict[int, int]
@@ -39,17 +40,22 @@ def _size(df: DataFrame, tag: int) -> DataFrame:
     return df.agg(F.lit(tag).alias("tag"), F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("bytes"))
 
 
-def are_small(dfs: Sequence[DataFrame], limits: Limits = DEFAULT) -> list[bool]:
-    """Which frames may be broadcast; they are all measured in one job.
+def measured_bytes(dfs: Sequence[DataFrame]) -> list[int | None]:
+    """The bytes each frame takes once built into a hash table; they are all measured in one job.
 
-    Nested columns have no simple size, so a frame with one is never called small.
+    Nested columns have no simple size, so a frame with one has None.
     """
     flat = [i for i, df in enumerate(dfs) if not any(isinstance(f.dataType, _NESTED) for f in df.schema)]
     if not flat:
-        return [False] * len(dfs)
+        return [None] * len(dfs)
     sizes = reduce(DataFrame.unionAll, [_size(dfs[i], i) for i in flat]).collect()  # one row per frame
-    small = {row["tag"] for row in sizes if row["bytes"] <= limits.broadcast_bytes}
-    return [i in small for i in range(len(dfs))]
+    found = {row["tag"]: row["bytes"] for row in sizes}
+    return [found.get(i) for i in range(len(dfs))]
+
+
+def are_small(dfs: Sequence[DataFrame], limits: Limits = DEFAULT) -> list[bool]:
+    """Which frames may be broadcast, each for itself; one without a simple size is never called small."""
+    return [size is not None and size <= limits.broadcast_bytes for size in measured_bytes(dfs)]
 
 
 def is_small(df: DataFrame, limits: Limits = DEFAULT, count_first: bool = False) -> bool:
@@ -60,6 +66,24 @@ def is_small(df: DataFrame, limits: Limits = DEFAULT, count_first: bool = False)
     return are_small([df], limits)[0]
 
 
+def rows_with_ids(rows: DataFrame, wanted: DataFrame, key: str, limits: Limits = DEFAULT) -> DataFrame:
+    """The rows whose integer ``key`` is among those of ``wanted``, which may have very many: no shuffle of ``rows``.
+
+    The ids are broadcast as bit masks, one per 64 neighbouring numbers.  If they are so far apart that even the masks
+    are no small side, or are no integers, all rows come back: for joins that drop the others anyway.
+    """
+    if not all(isinstance(df.schema[key].dataType, T.IntegralType) for df in (rows, wanted)):
+        return rows
+    number = F.col(f"`{key}`").cast("long")
+    bit = number.bitwiseAND(F.lit(63)).cast("int")
+    mask = wanted.filter(number.isNotNull()).select(F.shiftright(number, 6).alias("_block"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit"))
+    masks = materialize(mask.groupBy("_block").agg(F.bit_or("_bit").alias("_mask")), "masks")
+    if not is_small(masks, limits):
+        return rows
+    near = rows.withColumn("_block", F.shiftright(number, 6)).join(F.broadcast(masks), "_block")
+    return near.filter(F.call_function("shiftright", F.col("_mask"), bit).bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
+
+
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,10 +11,31 @@ from ..limits import DEFAULT, Limits
 from ..operators.lookup import Lookup, lookup_keys
 from ..operators.members import rows_not_in
 from ..operators.numbering import number_in_groups
-from ..operators.skew import is_small, skew_join
+from ..operators.skew import is_small, rows_with_ids, skew_join
 from ..sources.schemas import ORDER_MONTH
 
 
+Step = Callable[[DataFrame], DataFrame]
+
+_LINE_COLUMNS = ["SalesOrderID", "ProductID", "SpecialOfferID", "OrderQty", "UnitPrice", "UnitPriceDiscount", "LineTotal"]
+
+
+def _costs(product: DataFrame) -> DataFrame:
+    return product.select("ProductID", F.col("StandardCost").alias("ProductStandardCost"))
+
+
+def ordering_customers(
+    header: DataFrame, detail: DataFrame, product: DataFrame, few_orders: bool = False, limits: Limits = DEFAULT
+) -> DataFrame:
+    """The customers of orders that ``stage_sales`` gives a row: only ids are shuffled, and no line is numbered."""
+    lines = detail.select("SalesOrderID", "ProductID")
+    if few_orders:
+        lines = rows_with_ids(lines, header, "SalesOrderID", limits)
+    sold = skew_join(lines, _costs(product), "ProductID", "left_semi", limits).select("SalesOrderID").distinct()
+    orders = header.filter("SalesOrderID is not null").select("SalesOrderID", F.col("CustomerID").alias("CustomerAK"))
+    return skew_join(orders, sold, "SalesOrderID", "left_semi", limits, hot={}, small=False).select("CustomerAK")
+
+
 def stage_sales(
     header: DataFrame,
     detail: DataFrame,
@@ -23,6 +44,8 @@ def stage_sales(
     few_orders: bool = False,
     limits: Limits = DEFAULT,
     number_all_lines: bool = False,
+    order_keys: Step | None = None,
+    line_keys: Step | None = None,
 ) -> DataFrame:
     """One row per order line, numbered within its order, with cost and its share of tax and freight.
 
@@ -30,8 +53,11 @@ def stage_sales(
     are too many to broadcast): the numbering and the join with the order header
     share that partitioning.  Orders too big for one task are numbered
     and joined apart (see ``number_in_groups``).  If ``few_orders`` says that the
-    headers are few - only new orders, say - and their size proves it, lines of
-    other orders are dropped by a broadcast before any shuffle.
+    headers may be few - only new orders, say - lines of other orders are dropped
+    before any shuffle, by a broadcast of the orders or of their ids as bit masks.
+
+    ``order_keys`` and ``line_keys`` look up surrogates: of the parties once per order (``CustomerAK`` and the like), and of
+    ``ProductID`` and ``SpecialOfferID`` where lines meet their products.  The rows have those keys then.
 
     A line without a product takes no number, unless ``number_all_lines`` is set:
     then its number stays free until the product arrives.  Either way it is left out.
@@ -52,14 +78,21 @@ def stage_sales(
         "TaxAmt",
         "Freight",
     )
-    wanted = ["SalesOrderID", "ProductID", "SpecialOfferID", "OrderQty", "UnitPrice", "UnitPriceDiscount", "LineTotal"]
-    lines = detail.select(*dict.fromkeys([*wanted, *line_order]))
-    costs = product.select("ProductID", F.col("StandardCost").alias("ProductStandardCost"))
+    lines = detail.select(*dict.fromkeys([*_LINE_COLUMNS, *line_order]))
+    costs = _costs(product)
 
     few = few_orders and is_small(orders, limits)
     if few:
         lines = skew_join(lines, orders, "SalesOrderID", "left_semi", limits, small=True)
-    with_costs = lambda rows: skew_join(rows, costs, "ProductID", "inner", limits)
+    elif few_orders:
+        lines = rows_with_ids(lines, orders, "SalesOrderID", limits)
+    if order_keys:
+        orders = order_keys(orders)
+
+    def with_costs(rows: DataFrame) -> DataFrame:
+        priced = skew_join(rows, costs, "ProductID", "inner", limits)
+        return line_keys(priced) if line_keys else priced
+
     sold = number_in_groups(
         lines if number_all_lines else with_costs(lines),
         "SalesOrderID",
@@ -71,17 +104,14 @@ def stage_sales(
     )
     if number_all_lines:
         sold = with_costs(sold)
+    of_line = ["ProductKey", "PromotionKey"] if line_keys else [F.col("ProductID").alias("ProductAK"), F.col("SpecialOfferID").alias("PromotionAK")]
+    of_order = [c for c in orders.columns if c.endswith(("AK", "Key")) and not c.endswith("DateKey")]
     return sold.select(
         "SalesOrderNumber",
         "SalesOrderLineNumber",
         "RevisionNumber",
-        F.col("ProductID").alias("ProductAK"),
-        "CustomerAK",
-        "EmployeeAK",
-        F.col("SpecialOfferID").alias("PromotionAK"),
-        "SalesTerritoryAK",
-        "BillToAddressAK",
-        "ShipToAddressAK",
+        *of_line,
+        *of_order,
         "OrderDateKey",
         "ShipDateKey",
         "DueDateKey",
@@ -122,6 +152,26 @@ def new_fact_rows(
     return rows_not_in(staging, fact, key, limits)
 
 
+def order_roles(customer: DataFrame, employee: DataFrame, geography: DataFrame, territory: DataFrame) -> list[Lookup]:
+    """The lookups that are the same for all lines of an order; geography is looked up in two roles."""
+    return [
+        Lookup(customer, "CustomerAK", "CustomerKey"),
+        Lookup(employee, "EmployeeAK", "SalesPersonKey", "EmployeeKey"),
+        Lookup(geography, "BillToAddressAK", "BillToAddressKey", "GeographyKey", "GeographyAK"),
+        Lookup(geography, "ShipToAddressAK", "ShipToAddressKey", "GeographyKey", "GeographyAK"),
+        Lookup(territory, "SalesTerritoryAK", "SalesTerritoryKey"),
+    ]
+
+
+def line_roles(
+    promotion: DataFrame, product: DataFrame, promotion_id: str = "PromotionAK", product_id: str = "ProductAK"
+) -> list[Lookup]:
+    return [
+        Lookup(promotion, promotion_id, "PromotionKey", dim_alt_key="PromotionAK"),
+        Lookup(product, product_id, "ProductKey", dim_alt_key="ProductAK"),
+    ]
+
+
 def fact_rows(
     lines: DataFrame,
     customer: DataFrame,
@@ -133,15 +183,6 @@ def fact_rows(
     unknown_key: int | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Staged lines with surrogate keys; geography is looked up in two roles."""
-    roles = [
-        Lookup(customer, "CustomerAK", "CustomerKey"),
-        Lookup(employee, "EmployeeAK", "EmployeeKey"),
-        Lookup(promotion, "PromotionAK", "PromotionKey"),
-        Lookup(product, "ProductAK", "ProductKey"),
-        Lookup(geography, "BillToAddressAK", "BillToAddressKey", "GeographyKey", "GeographyAK"),
-        Lookup(geography, "ShipToAddressAK", "ShipToAddressKey", "GeographyKey", "GeographyAK"),
-        Lookup(territory, "SalesTerritoryAK", "SalesTerritoryKey"),
-    ]
-    keyed = lookup_keys(lines, roles, unknown_key=unknown_key, limits=limits)
-    return keyed.withColumnsRenamed({"EmployeeKey": "SalesPersonKey"})
+    """Staged lines with surrogate keys."""
+    roles = [*order_roles(customer, employee, geography, territory), *line_roles(promotion, product)]
+    return lookup_keys(lines, roles, unknown_key=unknown_key, limits=limits)

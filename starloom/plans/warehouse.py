@@ -14,7 +14,7 @@ from ..functions import calendar_key
 from ..limits import DEFAULT, Limits
 from ..operators import control
 from ..operators.history import apply_history, member_changes
-from ..operators.lookup import inferred_members
+from ..operators.lookup import inferred_members, lookup_keys
 from ..operators.members import insert_new, one_per_key
 from ..operators.numbering import Reserve
 from ..operators.skew import as_list
@@ -30,6 +30,7 @@ from .calendar import load_calendar
 
 CUSTOMER_FLOW = "DimCustomer"
 ORDER = "SalesOrderNumber"
+WHOLE_ORDERS = (ORDER, [ORDER], (ORDER,))
 
 # The days the calendar covers.
 CALENDAR = (date(1999, 12, 31), date(2025, 1, 2))
@@ -243,6 +244,12 @@ class Warehouse:
         new = sales.new_fact_rows(staged, self.facts_of(staged, F.col("OrderDateKey")), key, self.limits)
         self._append_facts(materialize(new, "new-facts"), run_ts, unknown_key)
 
+    def new_orders(self, src: Mapping[str, DataFrame]) -> DataFrame:
+        """Stored headers of the orders that are not in the fact table yet."""
+        header = src["SalesOrderHeader"]
+        facts = self.facts_of(header, calendar_key(F.col("OrderDate")))
+        return materialize(sales.new_fact_rows(header, facts, ORDER, self.limits), "new-orders")
+
     def new_lines(
         self,
         src: Mapping[str, DataFrame],
@@ -254,13 +261,11 @@ class Warehouse:
         Where whole orders are compared, known ones are left out before their
         lines are looked at, so a small addition costs no shuffle of all lines.
         """
-        whole_orders = key in (ORDER, [ORDER], (ORDER,))
+        whole_orders, built = key in WHOLE_ORDERS, []
 
         def build():
-            header = src["SalesOrderHeader"]
-            if whole_orders:
-                facts = self.facts_of(header, calendar_key(F.col("OrderDate")))
-                header = materialize(sales.new_fact_rows(header, facts, ORDER, self.limits), "new-orders")
+            built.append(True)
+            header = self.new_orders(src) if whole_orders else src["SalesOrderHeader"]
             return sales.stage_sales(
                 header, src["SalesOrderDetail"], src["Product"], line_order, whole_orders, self.limits,
                 self.number_all_lines,
@@ -269,16 +274,57 @@ class Warehouse:
         staged = self.stage("sales", build, tag=f"{as_list(key)}|{list(line_order)}|{self.number_all_lines}")
         if self.files is None and whole_orders:
             return materialize(staged, "new-facts")
+        if built and whole_orders:
+            return staged  # stored, and without the orders in the fact table
         # A kept staging set may be older than the fact table.
         facts = self.facts_of(staged, F.col("OrderDateKey"))
         return materialize(sales.new_fact_rows(staged, facts, key, self.limits), "new-facts")
 
+    def _enter_customers(self, mentioned: DataFrame, run_ts: datetime, last: int) -> None:
+        """Customers nobody has heard of get a key before the facts that mention them."""
+        known = self.current("DimCustomer", last)
+        options = {"limits": self.limits, "reserve": self.reserve("DimCustomer")}
+        self.add("DimCustomer", inferred_members(mentioned, known, "CustomerAK", "CustomerKey", run_ts, **options), last)
+
+    def _write_facts(self, rows: DataFrame, run_ts: datetime) -> None:
+        rows = rows.withColumn(ORDER_MONTH, sales.order_month(F.col("OrderDateKey")))
+        batches.append_batch(rows, self.name("FactSales"), run_ts)
+
+    def _append_orders(
+        self,
+        header: DataFrame,
+        src: Mapping[str, DataFrame],
+        line_order: Sequence[str],
+        run_ts: datetime,
+        unknown_key: int | None = None,
+    ) -> None:
+        """The facts of stored new orders, in one go: lines are shuffled by order and for the files, and not stored between.
+
+        Keys of the parties are looked up in the headers, so a dimension too big to broadcast costs a shuffle of those.
+        """
+        detail, product = src["SalesOrderDetail"], src["Product"]
+        last = batches.last_batch(self.spark, self.name("DimCustomer"))
+        self._enter_customers(sales.ordering_customers(header, detail, product, True, self.limits), run_ts, last)
+        of_order = sales.order_roles(
+            self.current("DimCustomer", last),
+            self.current("DimEmployee"),
+            self.table("DimGeography"),
+            self.table("DimSalesTerritory"),
+        )
+        of_line = sales.line_roles(self.table("DimPromotion"), self.table("DimProduct"), "_offer", "_product")
+        options = {"unknown_key": unknown_key, "limits": self.limits}
+        copies = {"_offer": F.col("SpecialOfferID"), "_product": F.col("ProductID")}  # lookups replace what they look up
+        rows = sales.stage_sales(
+            header, detail, product, line_order, True, self.limits, self.number_all_lines,
+            order_keys=lambda orders: lookup_keys(orders, of_order, **options),
+            line_keys=lambda lines: lookup_keys(lines.withColumns(copies), of_line, **options),
+        )
+        self._write_facts(rows, run_ts)
+
     def _append_facts(self, lines: DataFrame, run_ts: datetime, unknown_key: int | None = None) -> None:
         """Look up the keys of stored new lines; customers nobody has heard of are entered first."""
         last = batches.last_batch(self.spark, self.name("DimCustomer"))
-        known = self.current("DimCustomer", last)
-        options = {"limits": self.limits, "reserve": self.reserve("DimCustomer")}
-        self.add("DimCustomer", inferred_members(lines, known, "CustomerAK", "CustomerKey", run_ts, **options), last)
+        self._enter_customers(lines, run_ts, last)
         rows = sales.fact_rows(
             lines,
             self.current("DimCustomer", last),
@@ -290,8 +336,7 @@ class Warehouse:
             unknown_key,
             self.limits,
         )
-        rows = rows.withColumn(ORDER_MONTH, sales.order_month(F.col("OrderDateKey")))
-        batches.append_batch(rows, self.name("FactSales"), run_ts)
+        self._write_facts(rows, run_ts)
 
     def run(
         self,
@@ -303,19 +348,23 @@ class Warehouse:
         unknown_key: int | None = None,
         strict: bool = False,
     ) -> None:
-        """All dimensions, the calendar and the staging of order lines at once, then the facts.
+        """All dimensions, the calendar and the new orders, or kept order lines, at once, then the facts.
 
         ``src`` names the source tables; None stands for those below the source folder.
         """
         src = self.sources() if src is None else src
+        by_order = self.files is None and fact_key in WHOLE_ORDERS
         with scratch_folder(self.spark, "load"):
-            *_, lines = self._together(
+            *_, new = self._together(
                 *self._dimension_loads(src, run_ts),
                 lambda: self.load_customers(src, run_ts, strict),
                 lambda: load_calendar(self.name("DimDate"), *calendar, self.spark),
-                lambda: self.new_lines(src, line_order, fact_key),
+                lambda: self.new_orders(src) if by_order else self.new_lines(src, line_order, fact_key),
             )
-            self._append_facts(lines, run_ts, unknown_key)
+            if by_order:
+                self._append_orders(new, src, line_order, run_ts, unknown_key)
+            else:
+                self._append_facts(new, run_ts, unknown_key)
 
     def row_counts(self, *tables: str) -> DataFrame:
         """Rows per table: one small frame to look at after a run."""

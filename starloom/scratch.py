@@ -14,6 +14,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Of intermediate tables, staging sets and batched tables: fewer bytes than with the default.
+COMPRESSION = "zstd"
+
 _FOLDER = "starloom.scratch"  # a local property, so threads started for the same run have it too
 
 
@@ -34,7 +37,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     uses neither recompute it nor depend on executors that held it."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

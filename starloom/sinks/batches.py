@@ -18,6 +18,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.members import conform
+from ..scratch import COMPRESSION
 from .tables import append_table
 
 BATCH = "LoadBatch"
@@ -32,7 +33,7 @@ def create_batched(spark: SparkSession, table: str, columns: str, part: str, par
     """Create the table and its list of batches where they do not exist yet."""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {BATCH} BIGINT, {part} {part_type}) USING parquet "
-        f"PARTITIONED BY ({BATCH}, {part})"
+        f"OPTIONS (compression '{COMPRESSION}') PARTITIONED BY ({BATCH}, {part})"
     )
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_log(table)} (BatchID BIGINT, LoadedAt TIMESTAMP) USING parquet")
 

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.members import conform
-from ..scratch import remove_folder
+from ..scratch import COMPRESSION, remove_folder
 from ..sources.schemas import WAREHOUSE_TABLES
 
 
@@ -31,7 +31,7 @@ def describe_table(spark: SparkSession, table: str) -> DataFrame:
 
 def write_staging(df: DataFrame, path: str) -> DataFrame:
     """Replace a Parquet staging set and return it as stored."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
