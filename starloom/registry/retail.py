@@ -225,8 +225,8 @@ class Retail:
             )
         )
 
-    def sales_order_detail(self) -> DataFrame:
-        return self.table("lineitem").select(
+    def sales_order_detail(self, lines: DataFrame | None = None, *more: str) -> DataFrame:
+        return (self.table("lineitem") if lines is None else lines).select(
             F.col("l_orderkey").alias("SalesOrderID"),
             F.col("l_quantity").cast("smallint").alias("OrderQty"),
             F.col("l_partkey").alias("ProductID"),
@@ -235,6 +235,7 @@ class Retail:
             F.col("l_discount").cast(_MONEY).alias("UnitPriceDiscount"),
             F.col("l_extendedprice").cast(_MONEY).alias("LineTotal"),
             *LINE_ORDER,
+            *more,
         )
 
     def sources(self) -> dict[str, DataFrame]:
