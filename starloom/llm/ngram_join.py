@@ -45,6 +45,7 @@ SHINGLE = 5
 KEYS = 20
 TILE_ROWS = 4096  # classes of one block of a key
 GROUP_ROWS = 2048  # classes of one block of a candidate group
+SOME_SHINGLES = 1 << 16  # of other sets that one set is compared with at a time
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -173,7 +174,7 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of the tiles of a task, reduced to a forest: ``a, b``."""
+    """What the candidate pairs of the tiles of a task tie together, as stars: ``a, b``."""
     sets = _Sets()
     for t in _runs(batches, 3):
         key = [t.column(i).to_numpy() for i in range(3)]
@@ -208,7 +209,9 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tile = first[small & (band[first] == b)]
             count = size[small & (band[first] == b)]
             for gap in range(1, int(count.max()) if len(count) else 0):
-                left = np.concatenate([np.arange(f, f + c - gap) for f, c in zip(tile, count) if c > gap])
+                tile, count = tile[count > gap], count[count > gap]
+                each = count - gap
+                left = np.repeat(tile - np.cumsum(each) + each, each) + np.arange(each.sum())
                 right = left + gap
                 ok = _allowed(own, n, left, right) & (cid[left] != cid[right])
                 left, right = left[ok], right[ok]
@@ -217,11 +220,8 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keep = may_link(fold(x, width), fold(y, width), n[x], n[y])
                     out_a += cid[x[keep]].tolist()
                     out_b += cid[y[keep]].tolist()
-        pairs_a, pairs_b = [], []
         for a, b in zip(out_a, out_b):
-            if sets.join(a, b):
-                pairs_a.append(a)
-                pairs_b.append(b)
+            sets.join(a, b)
         # Large tiles: row by row, leaving out what is already tied.
         for f, c in zip(first[~small], size[~small]):
             rows = np.arange(f, f + c)
@@ -237,13 +237,13 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     j = j[may_link(maps[i], maps[j], m[i], m[j])]
                     for k in j:
                         if sets.join(int(ids[i]), int(ids[k])):
-                            pairs_a.append(int(ids[i]))
-                            pairs_b.append(int(ids[k]))
                             old, new = max(roots[i], roots[k]), min(roots[i], roots[k])
                             roots[roots == old] = new
                     break
-        if pairs_a:
-            yield pa.RecordBatch.from_arrays([pa.array(pairs_a, pa.int64()), pa.array(pairs_b, pa.int64())], names=["a", "b"])
+    if sets.up:
+        nodes = list(sets.up)
+        tops = [sets.find(x) for x in nodes]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(tops, pa.int64())], names=["a", "b"])
 
 
 def _allowed(side, n, x, y) -> np.ndarray:
@@ -271,14 +271,6 @@ def candidate_pairs(classes: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame
     return dealt.mapInArrow(_tiles, "a long, b long")
 
 
-def _exact(a: np.ndarray, b: np.ndarray) -> bool:
-    """100 * intersection >= 80 * union, of sorted arrays."""
-    if 5 * min(len(a), len(b)) < 4 * max(len(a), len(b)):
-        return False
-    common = len(a) + len(b) - len(np.union1d(a, b))
-    return 100 * common >= 80 * (len(a) + len(b) - common)
-
-
 class _Block:
     """Classes of one block, compared bitmap first, then exactly."""
 
@@ -307,15 +299,38 @@ class _Block:
             if between:
                 j = j[self.guest[j] | self.guest[i]]
             j = j[may_link(self.maps[i], self.maps[j], self.n[i], self.n[j])]
-            for k in j:
-                if roots[k] != roots[i] and _exact(self.sets[i], self.sets[k]):
-                    found.append((int(self.cid[i]), int(self.cid[k])))
-                    roots[roots == roots[k]] = roots[i]
+            while len(j):
+                some = max(1, int(np.searchsorted(np.cumsum(self.n[j]), SOME_SHINGLES)))
+                for k in j[:some][self.linked(i, j[:some])]:
+                    if roots[k] != roots[i]:
+                        found.append((int(self.cid[i]), int(self.cid[k])))
+                        roots[roots == roots[k]] = roots[i]
+                j = j[some:]
+                j = j[roots[j] != roots[i]]
         return found
 
+    def linked(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Which sets ``j`` link with ``i``: 100 * intersection >= 80 * union."""
+        own, n = self.sets[i], self.n[j]
+        others = np.concatenate([self.sets[k] for k in j])
+        hit = own[np.minimum(np.searchsorted(own, others), len(own) - 1)] == others
+        common = np.add.reduceat(hit, np.cumsum(n) - n, dtype=np.int64)
+        return 100 * common >= 80 * (len(own) + n - common)
+
+
+def _stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Each class of the links with the smallest one that it reaches, so that few rounds remain for their components."""
+    sets = _Sets()
+    for a, b in links:
+        sets.join(a, b)
+    return [(x, sets.find(x)) for x in sets.up]
+
 
 def _groups(between: bool):
-    """Task over rows ``group, block, cid, guest, label, shingles`` sorted by group and block: link pairs."""
+    """Task over rows ``group, block, cid, guest, label, shingles`` sorted by group and block: pairs that links tie.
+
+    ``between``: the links themselves, else stars of what they tie in a block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _runs(batches, 2):
@@ -336,7 +351,8 @@ def _groups(between: bool):
                 if between:
                     order = np.lexsort((cid[f:e], np.array([len(s) for s in arrays])))
                     roots = np.unique(label[f:e][order], return_inverse=True)[1]
-                out += block.links(roots, between)
+                links = block.links(roots, between)
+                out += links if between else _stars(links)
             if out:
                 a, b = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -350,7 +366,7 @@ def _arrays(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def exact_links(classes: DataFrame, candidates: DataFrame, docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Links of classes that hold their groups together: ``a, b``.
+    """Pairs of classes that are tied together by links, and tie all that links do: ``a, b``.
 
     ``classes`` has one document (``doc``: a hash of its text) of each class.
     """
