@@ -12,6 +12,7 @@ from ..operators.lookup import Lookup, lookup_keys
 from ..operators.members import rows_not_in
 from ..operators.numbering import number_in_groups
 from ..operators.skew import is_small, rows_with_ids, skew_join
+from ..scratch import materialize
 from ..sources.schemas import ORDER_MONTH
 
 
@@ -152,6 +153,23 @@ def new_fact_rows(
     return rows_not_in(staging, fact, key, limits)
 
 
+def new_headers(header: DataFrame, fact: DataFrame, key: str = "SalesOrderNumber", limits: Limits = DEFAULT) -> DataFrame:
+    """Headers of orders not loaded yet.
+
+    Numbers alone are compared first: as a rule few orders are new, and then the other columns of the known ones are
+    neither worked out nor shuffled.
+    """
+    if is_small(fact.select(key), limits, count_first=True):
+        return new_fact_rows(header, fact, key, limits)
+    numbers = header.select(key).distinct()
+    new = materialize(rows_not_in(numbers, fact, key, limits, hot={}, small=False).toDF("_new"), "new-numbers")
+    if new.isEmpty():
+        return header.filter(F.lit(False))
+    if not is_small(new, limits):
+        return new_fact_rows(header, fact, key, limits)
+    return header.join(F.broadcast(new), F.col(key).eqNullSafe(F.col("_new")), "left_semi")  # without a number: always new
+
+
 def order_roles(customer: DataFrame, employee: DataFrame, geography: DataFrame, territory: DataFrame) -> list[Lookup]:
     """The lookups that are the same for all lines of an order; geography is looked up in two roles."""
     return [

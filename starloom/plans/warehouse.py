@@ -248,7 +248,7 @@ class Warehouse:
         """Stored headers of the orders that are not in the fact table yet."""
         header = src["SalesOrderHeader"]
         facts = self.facts_of(header, calendar_key(F.col("OrderDate")))
-        return materialize(sales.new_fact_rows(header, facts, ORDER, self.limits), "new-orders")
+        return materialize(sales.new_headers(header, facts, ORDER, self.limits), "new-orders")
 
     def new_lines(
         self,
