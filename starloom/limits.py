@@ -24,6 +24,10 @@ class Limits:
     # A window over a frame of at most this many rows fits one task whatever
     # the skew, so no search for hot groups is needed.
     window_rows: int = 4_000_000
+    # A dimension that is too big for a broadcast as it is becomes blocks (see
+    # ``operators.blocks``) only if it has at least this many members: they take
+    # two jobs, which a small shuffle does not cost.
+    block_rows: int = 100_000
 
 
 DEFAULT = Limits()

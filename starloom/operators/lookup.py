@@ -6,13 +6,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType, StructType
 
 from ..limits import DEFAULT, Limits
+from .blocks import Blocks, value_blocks, with_values
 from .members import conform, rows_not_in
 from .numbering import Reserve, assign_keys
 from .skew import HotKeys, hot_keys, is_hot, measured_bytes, skew_join
 
 
+# What a pair of keys counts as in ``measured_bytes``.
+_PAIR_BYTES = 64
+
+
 @dataclass(frozen=True)
 class Lookup:
     """One role of a dimension: ``fact_key`` holds its alternative key, ``role_key`` gets the surrogate."""
@@ -54,39 +60,77 @@ def _spread_lookup(fact: DataFrame, pairs: DataFrame, role: Lookup, hot: HotKeys
     return found.select(*[F.col(f"`{c}`") for c in fact.columns], surrogate.alias(name))
 
 
+@dataclass(frozen=True)
+class Way:
+    """How one role is looked up: by a broadcast of its pairs, by one of blocks, or else by a shuffle."""
+
+    role: Lookup
+    pairs: DataFrame
+    small: bool = False
+    blocks: Blocks | None = None
+
+    @property
+    def shuffles(self) -> bool:
+        return not self.small and self.blocks is None
+
+
+def lookup_ways(
+    schema: StructType, lookups: Sequence[Lookup], expiry: str = "ExpirationDate", limits: Limits = DEFAULT
+) -> list[Way]:
+    """How facts of this schema look up each role.
+
+    All dimensions are measured in one job, each once however many roles it plays.  All roles end up in one plan, so they
+    share one broadcast budget; every role has a broadcast of its own.  The smallest are broadcast as they are; of the
+    others those with integer keys as blocks, as long as these fit too.
+    """
+    pairs = [role.pairs(expiry) for role in lookups]
+    first = {id(role.dim): i for i, role in reversed(list(enumerate(lookups))) if not role.bucketed}
+    sizes = dict(zip(first, measured_bytes([pairs[i] for i in first.values()]), strict=True))
+    ways, left, made = {}, limits.broadcast_bytes, {}
+    known = [(sizes[id(role.dim)], i) for i, role in enumerate(lookups) if sizes.get(id(role.dim)) is not None]
+    for size, i in sorted(known):
+        if size <= left:
+            ways[i] = Way(lookups[i], pairs[i], small=True)
+            left -= size
+    for size, i in sorted(known):
+        role, dim = lookups[i], id(lookups[i].dim)
+        integers = isinstance(schema[role.fact_key].dataType, IntegralType)
+        if i in ways or role.bucketed or not integers or size < limits.block_rows * _PAIR_BYTES:
+            continue
+        same = (dim, role.dim_key or role.role_key, role.dim_alt_key or role.fact_key)
+        if same not in made:
+            made[same] = value_blocks(pairs[i], role.fact_key, role.role_key, limits)
+        if made[same] is not None and made[same].bytes <= left:
+            ways[i] = Way(role, pairs[i], blocks=made[same])
+            left -= made[same].bytes
+    return [ways.get(i) or Way(role, pair) for i, (role, pair) in enumerate(zip(lookups, pairs, strict=True))]
+
+
 def lookup_keys(
     fact: DataFrame,
     lookups: Sequence[Lookup],
     expiry: str = "ExpirationDate",
     unknown_key: int | None = None,
     limits: Limits = DEFAULT,
+    ways: Sequence[Way] | None = None,
 ) -> DataFrame:
     """Replace alternative keys by surrogates; every fact row comes out exactly once.
 
     A fact without a match keeps a NULL key, or gets ``unknown_key`` if that is
-    given.  All dimensions are measured in one job, each once however many roles
-    it plays.  The smallest are broadcast, as many as fit the limit together; hot keys are
-    searched only for the others, in the fact as it came in.
+    given.  Dimensions are broadcast where they fit together (see ``lookup_ways``, which is asked unless
+    ``ways`` are given); hot keys are searched only for the others, in the fact as it came in.
     """
     staged = fact
-    pairs = [role.pairs(expiry) for role in lookups]
-    first = {id(role.dim): i for i, role in reversed(list(enumerate(lookups))) if not role.bucketed}
-    sizes = dict(zip(first, measured_bytes([pairs[i] for i in first.values()]), strict=True))
-    # All roles end up in one plan, so they share one broadcast budget; every role has a broadcast of its own.
-    fits, left = set(), limits.broadcast_bytes
-    known = [(sizes[id(role.dim)], i) for i, role in enumerate(lookups) if sizes.get(id(role.dim)) is not None]
-    for size, i in sorted(known):
-        if size <= left:
-            fits.add(i)
-            left -= size
-    for i, (role, pair) in enumerate(zip(lookups, pairs, strict=True)):
+    for way in lookup_ways(fact.schema, lookups, expiry, limits) if ways is None else ways:
+        role, pair = way.role, way.pairs
         if role.bucketed and fact.schema[role.fact_key].dataType == pair.schema[role.fact_key].dataType:
-            found = _spread_lookup(fact, pair, role, hot_keys(staged, role.fact_key, limits)).drop(role.fact_key)
-            fact = found if unknown_key is None else found.fillna({role.role_key: unknown_key})
-            continue
-        small = i in fits
-        hot = {} if small else hot_keys(staged, role.fact_key, limits)
-        fact = skew_join(fact, pair, role.fact_key, "left", limits, hot, small).drop(role.fact_key)
+            fact = _spread_lookup(fact, pair, role, hot_keys(staged, role.fact_key, limits))
+        elif way.blocks:
+            fact = with_values(fact, way.blocks, role.fact_key, role.role_key)
+        else:
+            hot = {} if way.small else hot_keys(staged, role.fact_key, limits)
+            fact = skew_join(fact, pair, role.fact_key, "left", limits, hot, way.small)
+        fact = fact.drop(role.fact_key)
         if unknown_key is not None:
             fact = fact.fillna({role.role_key: unknown_key})
     return fact

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..limits import DEFAULT, Limits
-from ..scratch import materialize
+from .blocks import id_blocks, rows_in
 
 # Hash of a hot key -> number of tasks its rows are dealt to.
 HotKeys = dict[int, int]
@@ -72,16 +72,10 @@ def rows_with_ids(rows: DataFrame, wanted: DataFrame, key: str, limits: Limits =
     The ids are broadcast as bit masks, one per 64 neighbouring numbers.  If they are so far apart that even the masks
     are no small side, or are no integers, all rows come back: for joins that drop the others anyway.
     """
-    if not all(isinstance(df.schema[key].dataType, T.IntegralType) for df in (rows, wanted)):
+    if not isinstance(rows.schema[key].dataType, T.IntegralType):
         return rows
-    number = F.col(f"`{key}`").cast("long")
-    bit = number.bitwiseAND(F.lit(63)).cast("int")
-    mask = wanted.filter(number.isNotNull()).select(F.shiftright(number, 6).alias("_block"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit"))
-    masks = materialize(mask.groupBy("_block").agg(F.bit_or("_bit").alias("_mask")), "masks")
-    if not is_small(masks, limits):
-        return rows
-    near = rows.withColumn("_block", F.shiftright(number, 6)).join(F.broadcast(masks), "_block")
-    return near.filter(F.call_function("shiftright", F.col("_mask"), bit).bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
+    ids = id_blocks(wanted, key, limits)
+    return rows if ids is None else rows_in(rows, ids, key)
 
 
 def key_hash(keys: Sequence[str]) -> Column:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions import calendar_key, share_of
 from ..limits import DEFAULT, Limits
-from ..operators.lookup import Lookup, lookup_keys
+from ..operators.blocks import Blocks, id_blocks, rows_in, value_blocks, with_values
+from ..operators.lookup import Lookup, lookup_keys, lookup_ways
 from ..operators.members import rows_not_in
 from ..operators.numbering import number_in_groups
 from ..operators.skew import is_small, rows_with_ids, skew_join
@@ -25,16 +27,37 @@ def _costs(product: DataFrame) -> DataFrame:
     return product.select("ProductID", F.col("StandardCost").alias("ProductStandardCost"))
 
 
+def cost_blocks(detail: DataFrame, product: DataFrame, limits: Limits = DEFAULT) -> Blocks | None:
+    """The costs of products for a broadcast; None if they are too many, or a product comes twice."""
+    if not isinstance(detail.schema["ProductID"].dataType, IntegralType):
+        return None
+    return value_blocks(_costs(product), "ProductID", "ProductStandardCost", limits)
+
+
 def ordering_customers(
-    header: DataFrame, detail: DataFrame, product: DataFrame, few_orders: bool = False, limits: Limits = DEFAULT
+    header: DataFrame,
+    detail: DataFrame,
+    product: DataFrame,
+    few_orders: bool = False,
+    limits: Limits = DEFAULT,
+    costs: Blocks | None = None,
 ) -> DataFrame:
-    """The customers of orders that ``stage_sales`` gives a row: only ids are shuffled, and no line is numbered."""
+    """The customers of orders that ``stage_sales`` gives a row: only ids are shuffled, and no line is numbered.
+
+    With ``costs`` (see ``cost_blocks``) and integer order ids not even those are, but their bit masks.
+    """
     lines = detail.select("SalesOrderID", "ProductID")
     if few_orders:
         lines = rows_with_ids(lines, header, "SalesOrderID", limits)
-    sold = skew_join(lines, _costs(product), "ProductID", "left_semi", limits).select("SalesOrderID").distinct()
+    if costs:
+        sold = rows_in(lines, costs, "ProductID").select("SalesOrderID")
+    else:
+        sold = skew_join(lines, _costs(product), "ProductID", "left_semi", limits).select("SalesOrderID")
     orders = header.filter("SalesOrderID is not null").select("SalesOrderID", F.col("CustomerID").alias("CustomerAK"))
-    return skew_join(orders, sold, "SalesOrderID", "left_semi", limits, hot={}, small=False).select("CustomerAK")
+    ids = id_blocks(sold, "SalesOrderID", limits) if isinstance(orders.schema["SalesOrderID"].dataType, IntegralType) else None
+    if ids:
+        return rows_in(orders, ids, "SalesOrderID").select("CustomerAK")
+    return skew_join(orders, sold.distinct(), "SalesOrderID", "left_semi", limits, hot={}, small=False).select("CustomerAK")
 
 
 def stage_sales(
@@ -47,6 +70,8 @@ def stage_sales(
     number_all_lines: bool = False,
     order_keys: Step | None = None,
     line_keys: Step | None = None,
+    costs: Blocks | None = None,
+    by_month: bool = False,
 ) -> DataFrame:
     """One row per order line, numbered within its order, with cost and its share of tax and freight.
 
@@ -60,6 +85,11 @@ def stage_sales(
     ``order_keys`` and ``line_keys`` look up surrogates: of the parties once per order (``CustomerAK`` and the like), and of
     ``ProductID`` and ``SpecialOfferID`` where lines meet their products.  The rows have those keys then.
 
+    With ``costs`` (see ``cost_blocks``) products cost no shuffle, and lines without one are left out first, but the cost itself
+    and what follows from it come after the shuffle, which is narrower so.  ``by_month`` then brings
+    the lines of a month together before they get these, for rows that are written by month: they come with ``ORDER_MONTH``.
+    It is for ``line_keys`` that shuffle no lines.
+
     A line without a product takes no number, unless ``number_all_lines`` is set:
     then its number stays free until the product arrives.  Either way it is left out.
     """
@@ -80,7 +110,6 @@ def stage_sales(
         "Freight",
     )
     lines = detail.select(*dict.fromkeys([*_LINE_COLUMNS, *line_order]))
-    costs = _costs(product)
 
     few = few_orders and is_small(orders, limits)
     if few:
@@ -91,11 +120,18 @@ def stage_sales(
         orders = order_keys(orders)
 
     def with_costs(rows: DataFrame) -> DataFrame:
-        priced = skew_join(rows, costs, "ProductID", "inner", limits)
+        if costs:
+            priced = with_values(rows, costs, "ProductID", "ProductStandardCost", "inner")
+        else:
+            priced = skew_join(rows, _costs(product), "ProductID", "inner", limits)
         return line_keys(priced) if line_keys else priced
 
+    if number_all_lines:
+        numbered = lines
+    else:
+        numbered = rows_in(lines, costs, "ProductID") if costs else with_costs(lines)
     sold = number_in_groups(
-        lines if number_all_lines else with_costs(lines),
+        numbered,
         "SalesOrderID",
         line_order,
         "SalesOrderLineNumber",
@@ -103,10 +139,14 @@ def stage_sales(
         then=lambda rows, hot: skew_join(rows, orders, "SalesOrderID", "inner", limits, hot, small=few),
         size_from=lines,
     )
-    if number_all_lines:
+    of_order = [c for c in orders.columns if c.endswith(("AK", "Key")) and not c.endswith("DateKey")]
+    month = []
+    if by_month and costs:
+        sold = sold.withColumn(ORDER_MONTH, order_month(F.col("OrderDateKey"))).hint("rebalance", ORDER_MONTH)
+        month = [ORDER_MONTH]
+    if number_all_lines or costs:
         sold = with_costs(sold)
     of_line = ["ProductKey", "PromotionKey"] if line_keys else [F.col("ProductID").alias("ProductAK"), F.col("SpecialOfferID").alias("PromotionAK")]
-    of_order = [c for c in orders.columns if c.endswith(("AK", "Key")) and not c.endswith("DateKey")]
     return sold.select(
         "SalesOrderNumber",
         "SalesOrderLineNumber",
@@ -124,6 +164,7 @@ def stage_sales(
         F.col("LineTotal").alias("SalesAmount"),
         share_of(F.col("TaxAmt"), F.col("LineTotal"), F.col("SubTotal")).alias("TaxAmount"),
         share_of(F.col("Freight"), F.col("LineTotal"), F.col("SubTotal")).alias("FreightAmount"),
+        *month,
     )
 
 
@@ -201,6 +242,9 @@ def fact_rows(
     unknown_key: int | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Staged lines with surrogate keys."""
+    """Staged lines with surrogate keys; ``ORDER_MONTH`` stays only with lines that still lie together by it."""
     roles = [*order_roles(customer, employee, geography, territory), *line_roles(promotion, product)]
-    return lookup_keys(lines, roles, unknown_key=unknown_key, limits=limits)
+    ways = lookup_ways(lines.schema, roles, limits=limits)
+    if any(way.shuffles for way in ways):
+        lines = lines.drop(ORDER_MONTH)
+    return lookup_keys(lines, roles, unknown_key=unknown_key, limits=limits, ways=ways)

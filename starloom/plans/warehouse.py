@@ -14,7 +14,7 @@ from ..functions import calendar_key
 from ..limits import DEFAULT, Limits
 from ..operators import control
 from ..operators.history import apply_history, member_changes
-from ..operators.lookup import inferred_members, lookup_keys
+from ..operators.lookup import inferred_members, lookup_keys, lookup_ways
 from ..operators.members import insert_new, one_per_key
 from ..operators.numbering import Reserve
 from ..operators.skew import as_list
@@ -266,9 +266,11 @@ class Warehouse:
         def build():
             built.append(True)
             header = self.new_orders(src) if whole_orders else src["SalesOrderHeader"]
+            detail, product = src["SalesOrderDetail"], src["Product"]
             return sales.stage_sales(
-                header, src["SalesOrderDetail"], src["Product"], line_order, whole_orders, self.limits,
-                self.number_all_lines,
+                header, detail, product, line_order, whole_orders, self.limits, self.number_all_lines,
+                costs=sales.cost_blocks(detail, product, self.limits),
+                by_month=whole_orders and self.files is not None,
             )
 
         staged = self.stage("sales", build, tag=f"{as_list(key)}|{list(line_order)}|{self.number_all_lines}")
@@ -276,7 +278,8 @@ class Warehouse:
             return materialize(staged, "new-facts")
         if built and whole_orders:
             return staged  # stored, and without the orders in the fact table
-        # A kept staging set may be older than the fact table.
+        # A kept staging set may be older than the fact table; what is left of it need not lie together by month.
+        staged = staged.drop(ORDER_MONTH)
         facts = self.facts_of(staged, F.col("OrderDateKey"))
         return materialize(sales.new_fact_rows(staged, facts, key, self.limits), "new-facts")
 
@@ -287,8 +290,11 @@ class Warehouse:
         self.add("DimCustomer", inferred_members(mentioned, known, "CustomerAK", "CustomerKey", run_ts, **options), last)
 
     def _write_facts(self, rows: DataFrame, run_ts: datetime) -> None:
-        rows = rows.withColumn(ORDER_MONTH, sales.order_month(F.col("OrderDateKey")))
-        batches.append_batch(rows, self.name("FactSales"), run_ts)
+        """Append a batch; rows that have their month already lie together by it."""
+        together = ORDER_MONTH in rows.columns
+        if not together:
+            rows = rows.withColumn(ORDER_MONTH, sales.order_month(F.col("OrderDateKey")))
+        batches.append_batch(rows, self.name("FactSales"), run_ts, together)
 
     def _append_orders(
         self,
@@ -303,8 +309,9 @@ class Warehouse:
         Keys of the parties are looked up in the headers, so a dimension too big to broadcast costs a shuffle of those.
         """
         detail, product = src["SalesOrderDetail"], src["Product"]
+        costs = sales.cost_blocks(detail, product, self.limits)
         last = batches.last_batch(self.spark, self.name("DimCustomer"))
-        self._enter_customers(sales.ordering_customers(header, detail, product, True, self.limits), run_ts, last)
+        self._enter_customers(sales.ordering_customers(header, detail, product, True, self.limits, costs), run_ts, last)
         of_order = sales.order_roles(
             self.current("DimCustomer", last),
             self.current("DimEmployee"),
@@ -314,10 +321,13 @@ class Warehouse:
         of_line = sales.line_roles(self.table("DimPromotion"), self.table("DimProduct"), "_offer", "_product")
         options = {"unknown_key": unknown_key, "limits": self.limits}
         copies = {"_offer": F.col("SpecialOfferID"), "_product": F.col("ProductID")}  # lookups replace what they look up
+        ways = lookup_ways(detail.withColumns(copies).schema, of_line, limits=self.limits)
         rows = sales.stage_sales(
             header, detail, product, line_order, True, self.limits, self.number_all_lines,
             order_keys=lambda orders: lookup_keys(orders, of_order, **options),
-            line_keys=lambda lines: lookup_keys(lines.withColumns(copies), of_line, **options),
+            line_keys=lambda lines: lookup_keys(lines.withColumns(copies), of_line, ways=ways, **options),
+            costs=costs,
+            by_month=not any(way.shuffles for way in ways),
         )
         self._write_facts(rows, run_ts)
 

@@ -54,17 +54,18 @@ def clear_batch(spark: SparkSession, table: str, batch: int, value: str | None =
     spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = {int(batch)}, {fixed}) SELECT * FROM {{rows}}", rows=rows)
 
 
-def write_batch(rows: DataFrame, table: str, batch: int) -> None:
+def write_batch(rows: DataFrame, table: str, batch: int, together: bool = False) -> None:
     """Write ``rows``, which have the table's second partition column, as ``batch``, whatever an earlier try left there.
 
-    Rows are rebalanced by that column, so files have a fair size, and a value with most rows is split over tasks.
+    Rows are rebalanced by that column, so files have a fair size, and a value with most rows is split over tasks;
+    ``together`` says that the rows of a value already lie together.
     """
     spark = rows.sparkSession
     part = spark.table(table).columns[-1]
     if not spark.table(table).filter(F.col(BATCH) == batch).isEmpty():
         clear_batch(spark, table, batch)
     batched = conform(rows.withColumn(BATCH, F.lit(batch)), spark.table(table))
-    batched.hint("rebalance", part).write.insertInto(table)
+    (batched if together else batched.hint("rebalance", part)).write.insertInto(table)
 
 
 def commit_batch(spark: SparkSession, table: str, batch: int, at: datetime) -> None:
@@ -72,10 +73,10 @@ def commit_batch(spark: SparkSession, table: str, batch: int, at: datetime) -> N
     append_table(spark.range(1).select(F.lit(batch).alias("BatchID"), F.lit(at).alias("LoadedAt")), _log(table))
 
 
-def append_batch(rows: DataFrame, table: str, at: datetime) -> None:
+def append_batch(rows: DataFrame, table: str, at: datetime, together: bool = False) -> None:
     """Append rows as the next batch: all of them or none, and once however often the load is tried."""
     batch = last_batch(rows.sparkSession, table) + 1
-    write_batch(rows, table, batch)
+    write_batch(rows, table, batch, together)
     commit_batch(rows.sparkSession, table, batch, at)
 
 
