@@ -13,6 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import typed_null
+from ..operators.blocks import value_blocks, with_values
 
 # Dates that separate what is loaded from what is new.
 PRODUCTS_KNOWN_UNTIL = datetime(1995, 4, 1)
@@ -203,10 +204,13 @@ class Retail:
         customers = self.table("customer").select(
             F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("TerritoryID")
         )
+        orders, nations = self.table("orders"), value_blocks(customers, "o_custkey", "TerritoryID")
+        if nations:  # no shuffle of the orders for their customers
+            orders = with_values(orders, nations, "o_custkey", "TerritoryID")
+        else:
+            orders = orders.join(customers, "o_custkey", "left")
         return (
-            self.table("orders")
-            .join(customers, "o_custkey", "left")
-            .join(lines, "o_orderkey", "left")
+            orders.join(lines, "o_orderkey", "left")
             .select(
                 F.col("o_orderkey").alias("SalesOrderID"),
                 F.concat(F.lit("SO"), F.col("o_orderkey").cast("string")).alias("SalesOrderNumber"),
