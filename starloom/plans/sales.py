@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import DecimalType, IntegralType, StructType
 
 from ..functions import calendar_key, share_of
 from ..limits import DEFAULT, Limits
@@ -20,6 +20,8 @@ from ..sources.schemas import ORDER_MONTH
 
 Step = Callable[[DataFrame], DataFrame]
 
+_ID = "SalesOrderID"
+_TOTALS = ["SubTotal", "TaxAmt", "Freight"]
 _LINE_COLUMNS = ["SalesOrderID", "ProductID", "SpecialOfferID", "OrderQty", "UnitPrice", "UnitPriceDiscount", "LineTotal"]
 
 
@@ -27,6 +29,40 @@ def _costs(product: DataFrame) -> DataFrame:
     return product.select("ProductID", F.col("StandardCost").alias("ProductStandardCost"))
 
 
+# A decimal of more digits than this takes three times the room of a shorter one in a row that is shuffled.
+_SHORT = 18
+_WIDE = "_wide_"
+
+
+def _shortened(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Long decimals, except those to ``keep``, as short ones; a value that does not fit goes to a column of its own, empty as a rule.
+
+    That is a text, as an empty long decimal takes its room all the same.
+    """
+    columns = []
+    for field in rows.schema:
+        value, kind = F.col(f"`{field.name}`"), field.dataType
+        if not isinstance(kind, DecimalType) or kind.precision <= _SHORT or kind.scale > _SHORT or field.name in keep:
+            columns.append(value)
+            continue
+        short = value.try_cast(DecimalType(_SHORT, kind.scale))
+        columns += [short.alias(field.name), F.when(short.isNull(), value.cast("string")).alias(_WIDE + field.name)]
+    return rows.select(*columns)
+
+
+def _restored(rows: DataFrame, *before: StructType) -> DataFrame:
+    """The values that ``_shortened`` found, in their own types."""
+    kinds = {f.name: f.dataType for schema in before for f in schema}
+    wide = {c.removeprefix(_WIDE) for c in rows.columns if c.startswith(_WIDE)}
+    return rows.select(
+        *[
+            F.coalesce(F.col(f"`{c}`").cast(kinds[c]), F.col(f"`{_WIDE}{c}`").cast(kinds[c])).alias(c) if c in wide else F.col(f"`{c}`")
+            for c in rows.columns
+            if not c.startswith(_WIDE)
+        ]
+    )
+
+
 def cost_blocks(detail: DataFrame, product: DataFrame, limits: Limits = DEFAULT) -> Blocks | None:
     """The costs of products for a broadcast; None if they are too many, or a product comes twice."""
     if not isinstance(detail.schema["ProductID"].dataType, IntegralType):
@@ -72,6 +108,7 @@ def stage_sales(
     line_keys: Step | None = None,
     costs: Blocks | None = None,
     by_month: bool = False,
+    amounts: bool = True,
 ) -> DataFrame:
     """One row per order line, numbered within its order, with cost and its share of tax and freight.
 
@@ -88,7 +125,8 @@ def stage_sales(
     With ``costs`` (see ``cost_blocks``) products cost no shuffle, and lines without one are left out first, but the cost itself
     and what follows from it come after the shuffle, which is narrower so.  ``by_month`` then brings
     the lines of a month together before they get these, for rows that are written by month: they come with ``ORDER_MONTH``.
-    It is for ``line_keys`` that shuffle no lines.
+    It is for ``line_keys`` that shuffle no lines.  Without ``amounts`` the rows have the totals of their orders instead of
+    what follows from them, for rows that are stored first: ``with_amounts`` works that out.
 
     A line without a product takes no number, unless ``number_all_lines`` is set:
     then its number stays free until the product arrives.  Either way it is left out.
@@ -118,6 +156,7 @@ def stage_sales(
         lines = rows_with_ids(lines, orders, "SalesOrderID", limits)
     if order_keys:
         orders = order_keys(orders)
+    of_order = [c for c in orders.columns if c.endswith(("AK", "Key")) and not c.endswith("DateKey")]
 
     def with_costs(rows: DataFrame) -> DataFrame:
         if costs:
@@ -130,24 +169,28 @@ def stage_sales(
         numbered = lines
     else:
         numbered = rows_in(lines, costs, "ProductID") if costs else with_costs(lines)
+    long_forms, short_orders = (numbered.schema, orders.schema), _shortened(orders)
     sold = number_in_groups(
-        numbered,
+        _shortened(numbered, line_order),
         "SalesOrderID",
         line_order,
         "SalesOrderLineNumber",
         limits,
-        then=lambda rows, hot: skew_join(rows, orders, "SalesOrderID", "inner", limits, hot, small=few),
+        then=lambda rows, hot: skew_join(rows, short_orders, "SalesOrderID", "inner", limits, hot, small=few),
         size_from=lines,
     )
-    of_order = [c for c in orders.columns if c.endswith(("AK", "Key")) and not c.endswith("DateKey")]
     month = []
     if by_month and costs:
-        sold = sold.withColumn(ORDER_MONTH, order_month(F.col("OrderDateKey"))).hint("rebalance", ORDER_MONTH)
+        # What the lines of an order share comes first: rows after each other differ in their ends only, so they compress better.
+        shared = [c for c in short_orders.columns if c != "SalesOrderID"]
+        own = [c for c in sold.columns if c not in shared and c.removeprefix(_WIDE) in [*_LINE_COLUMNS[1:], "SalesOrderLineNumber"]]
+        sold = sold.select(order_month(F.col("OrderDateKey")).alias(ORDER_MONTH), *shared, *own).hint("rebalance", ORDER_MONTH)
         month = [ORDER_MONTH]
+    sold = _restored(sold, *long_forms)
     if number_all_lines or costs:
         sold = with_costs(sold)
     of_line = ["ProductKey", "PromotionKey"] if line_keys else [F.col("ProductID").alias("ProductAK"), F.col("SpecialOfferID").alias("PromotionAK")]
-    return sold.select(
+    staged = sold.select(
         "SalesOrderNumber",
         "SalesOrderLineNumber",
         "RevisionNumber",
@@ -160,12 +203,25 @@ def stage_sales(
         "UnitPrice",
         F.col("UnitPriceDiscount").alias("DiscountAmount"),
         "ProductStandardCost",
-        (F.col("ProductStandardCost") * F.col("OrderQty")).alias("TotalProductCost"),
         F.col("LineTotal").alias("SalesAmount"),
-        share_of(F.col("TaxAmt"), F.col("LineTotal"), F.col("SubTotal")).alias("TaxAmount"),
-        share_of(F.col("Freight"), F.col("LineTotal"), F.col("SubTotal")).alias("FreightAmount"),
+        *_TOTALS,
         *month,
     )
+    return with_amounts(staged) if amounts else staged
+
+
+def with_amounts(staged: DataFrame) -> DataFrame:
+    """Staged lines with their costs and shares in place of the totals of their orders."""
+    whole, sales = F.col("SubTotal"), F.col("SalesAmount")
+    follows = {
+        "ProductStandardCost": [(F.col("ProductStandardCost") * F.col("OrderQuantity")).alias("TotalProductCost")],
+        "SalesAmount": [
+            share_of(F.col("TaxAmt"), sales, whole).alias("TaxAmount"),
+            share_of(F.col("Freight"), sales, whole).alias("FreightAmount"),
+        ],
+    }
+    kept = [c for c in staged.columns if c not in _TOTALS]
+    return staged.select(*[x for c in kept for x in (c, *follows.get(c, []))])
 
 
 def order_month(date_key: Column) -> Column:
@@ -198,17 +254,22 @@ def new_headers(header: DataFrame, fact: DataFrame, key: str = "SalesOrderNumber
     """Headers of orders not loaded yet.
 
     Numbers alone are compared first: as a rule few orders are new, and then the other columns of the known ones are
-    neither worked out nor shuffled.
+    neither worked out nor shuffled.  Many new ones are found by the bit masks of their ids, if these tell them from the known ones.
     """
     if is_small(fact.select(key), limits, count_first=True):
         return new_fact_rows(header, fact, key, limits)
-    numbers = header.select(key).distinct()
-    new = materialize(rows_not_in(numbers, fact, key, limits, hot={}, small=False).toDF("_new"), "new-numbers")
+    by_id = _ID in header.columns and isinstance(header.schema[_ID].dataType, IntegralType)
+    numbers = header.select(key, _ID) if by_id else header.select(key).distinct()
+    new = materialize(rows_not_in(numbers, fact, key, limits, hot={}, small=False).withColumnRenamed(key, "_new"), "new-numbers")
     if new.isEmpty():
         return header.filter(F.lit(False))
-    if not is_small(new, limits):
-        return new_fact_rows(header, fact, key, limits)
-    return header.join(F.broadcast(new), F.col(key).eqNullSafe(F.col("_new")), "left_semi")  # without a number: always new
+    if is_small(new.select("_new"), limits):
+        return header.join(F.broadcast(new.select("_new")), F.col(key).eqNullSafe(F.col("_new")), "left_semi")  # without a number: always new
+    ids = id_blocks(new, _ID, limits) if by_id else None
+    # A known order with the id of a new one, or a new one without, would make another number of rows.
+    if ids and rows_in(numbers, ids, _ID).count() == new.count():
+        return rows_in(header, ids, _ID)
+    return new_fact_rows(header, fact, key, limits)
 
 
 def order_roles(customer: DataFrame, employee: DataFrame, geography: DataFrame, territory: DataFrame) -> list[Lookup]:

@@ -271,9 +271,12 @@ class Warehouse:
                 header, detail, product, line_order, whole_orders, self.limits, self.number_all_lines,
                 costs=sales.cost_blocks(detail, product, self.limits),
                 by_month=whole_orders and self.files is not None,
+                amounts=False,
             )
 
-        staged = self.stage("sales", build, tag=f"{as_list(key)}|{list(line_order)}|{self.number_all_lines}")
+        # Totals of an order repeat in its lines and take hardly any room; what follows from them would.
+        tag = f"{as_list(key)}|{list(line_order)}|{self.number_all_lines}|totals"
+        staged = sales.with_amounts(self.stage("sales", build, tag=tag))
         if self.files is None and whole_orders:
             return materialize(staged, "new-facts")
         if built and whole_orders:

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Of intermediate tables, staging sets and batched tables: fewer bytes than with the default.
 COMPRESSION = "zstd"
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _FOLDER = "starloom.scratch"  # a local property, so threads started for the same run have it too
 
 
@@ -47,12 +49,29 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of an action go when it ends, and not when the driver happens to collect garbage.
+
+    For work in many actions, none of which reads what another one shuffled.
+    """
+    was = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, was)
+
+
 @contextmanager
 def scratch_folder(spark: SparkSession, label: str) -> Iterator[None]:
     """Intermediate tables written inside go to one folder, which is removed at the end, whatever happened.
 
     For work whose results are stored by then: frames that read intermediate tables are void afterwards.
-    Inside another such block the outer folder serves.
+    Inside another such block the outer folder serves.  Shuffle files go with each action.
     """
     context = spark.sparkContext
     if context.getLocalProperty(_FOLDER):
@@ -61,7 +80,8 @@ def scratch_folder(spark: SparkSession, label: str) -> Iterator[None]:
     folder = scratch_path(spark, label)
     context.setLocalProperty(_FOLDER, folder)
     try:
-        yield
+        with shuffles_removed(spark):
+            yield
     finally:
         context.setLocalProperty(_FOLDER, None)
         remove_folder(spark, folder)

@@ -110,3 +110,57 @@ def test_a_load_with_blocks_gives_the_same_facts(spark, tmp_path, files):
         w.run(None if files else data, DAY2, SPAN)
         found.append(rows(w.table("FactSales")))
     assert found[0] == found[1] and len(found[0]) == sum((i * n) % 125 in many for i in many for n in (1, 2, 3))
+
+
+@pytest.mark.parametrize("limits", [Limits(), SALTED], ids=["default", "salted"])
+def test_long_decimals_are_short_in_the_shuffle_and_come_back(spark, limits):
+    huge, small = Decimal("999999999999999.9999"), Decimal("-0.0001")
+    lines = [{**line(1, 1), "UnitPrice": huge, "LineTotal": small}, {**line(1, 2), "UnitPrice": None}, line(2, 3, total="12345.6789")]
+    data = world(spark, SalesOrderHeader=[order(1, 100, Freight=huge), order(2, 200, Freight=None)], SalesOrderDetail=lines)
+    header, detail, product = data["SalesOrderHeader"], data["SalesOrderDetail"], data["Product"]
+    costs = sales.cost_blocks(detail, product, limits)
+    assert (costs is None) == (limits is SALTED)
+    got = sales.stage_sales(header, detail, product, limits=limits, costs=costs, by_month=True, amounts=False)
+    assert rows(got, "SalesOrderNumber", "SalesOrderLineNumber", "UnitPrice", "SalesAmount", "Freight") == [
+        ("SO1", 1, huge, small, huge),
+        ("SO1", 2, None, Decimal("50"), huge),
+        ("SO2", 1, Decimal("25"), Decimal("12345.6789"), None),
+    ]
+    assert {c: got.schema[c].dataType.precision for c in ("UnitPrice", "SalesAmount", "Freight")} == dict.fromkeys(("UnitPrice", "SalesAmount", "Freight"), 19)
+    shuffled = [x for x in plan_of(got).splitlines() if "Exchange hashpartitioning" in x]
+    assert shuffled and "decimal(19" not in "".join(shuffled)
+
+
+def test_staged_lines_have_the_totals_and_give_the_same_amounts(spark):
+    data = world(spark)
+    parts = [data[t] for t in ("SalesOrderHeader", "SalesOrderDetail", "Product")]
+    whole, stored = sales.stage_sales(*parts), sales.stage_sales(*parts, amounts=False)
+    assert "TaxAmount" not in stored.columns and {"SubTotal", "TaxAmt", "Freight"} <= set(stored.columns)
+    again = sales.with_amounts(stored)
+    assert again.columns == whole.columns and again.schema == whole.schema and rows(again) == rows(whole)
+
+
+@pytest.mark.parametrize("known", ["id < 100", "id < 250 or id = 399"])
+@pytest.mark.parametrize("odd", ["none", "id of a known order", "no id"])
+def test_many_new_headers_are_found_by_ids(spark, known, odd):
+    header = spark.range(400).selectExpr("id as SalesOrderID", "concat('SO', id) as SalesOrderNumber", "repeat('x', 50) as note")
+    if odd != "none":
+        header = header.unionByName(spark.sql(f"select {'5L' if odd != 'no id' else 'cast(null as bigint)'} as SalesOrderID, 'SO900' as SalesOrderNumber, 'y' as note"))
+    fact = spark.range(400).filter(known).selectExpr("concat('SO', id) as SalesOrderNumber")
+    limits = Limits(broadcast_bytes=3_000)
+    got = sales.new_headers(header, fact, limits=limits)
+    assert rows(got, *header.columns) == rows(sales.new_fact_rows(header, fact, limits=limits), *header.columns)
+    assert ("SortMergeJoin" in plan_of(got)) == (odd != "none")
+
+
+def test_shuffle_files_go_with_their_action(spark, tmp_path):
+    from starloom.scratch import _CLEANUP, scratch_folder
+
+    was = spark.conf.get(_CLEANUP, None)
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with scratch_folder(spark, "a"):
+        with scratch_folder(spark, "b"):
+            assert spark.conf.get(_CLEANUP) == "true"
+        assert rows(df, "k") == rows(df, "k")  # a frame may be asked twice
+        assert len(df.collect()) == len(df.collect()) == 7
+    assert spark.conf.get(_CLEANUP, None) == was
